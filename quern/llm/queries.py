@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import mixing
+from quern.llm import fingerprints, mixing
 from quern.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,3 +21,8 @@ def query(f):
 @query
 def op6_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
