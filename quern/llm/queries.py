@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import decontaminate, fingerprints, mixing, toxicity
+from quern.llm import decontaminate, fingerprints, mixing, secret_scan, toxicity
 from quern.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,8 @@ FROM d LEFT JOIN words_hit USING (doc_id) LEFT JOIN items_hit USING (doc_id)
 def op4_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op7_secrets(spark, sf_dir):
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
