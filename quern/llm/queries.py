@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import decontaminate, fingerprints, mixing, secret_scan, toxicity
+from quern.llm import decontaminate, fingerprints, mixing, secret_scan, token_counts, toxicity
 from quern.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,8 @@ def op4_toxicity(spark, sf_dir):
 @query
 def op7_secrets(spark, sf_dir):
     return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
