@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import decontaminate, fingerprints, mixing, secret_scan, token_counts, toxicity
+from quern.llm import decontaminate, fingerprints, mixing, pii, secret_scan, token_counts, toxicity
 from quern.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,8 @@ def op7_secrets(spark, sf_dir):
 @query
 def op5_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_pii(spark, sf_dir):
+    return pii.pseudonymise(table(spark, sf_dir, "documents"), key=b"query op10")
