@@ -28,17 +28,17 @@ ROUNDS = 10
 FIRST_DAY, N_DAYS = date(1900, 1, 1), (date(2100, 1, 1) - date(1900, 1, 1)).days
 #: Kinds in the order in which they claim text; a later one takes only what is left.
 PATTERNS = (
-    ("email", re.compile(r"[\w.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")),
-    ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")),
-    ("ip", re.compile(r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.]*\d)")),
-    ("date", re.compile(r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}([/.-])\d{1,2}\1\d{4})(?![/-]?\d)")),
-    ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")),
-    ("phone", re.compile(r"\+\d{1,3}[\x20.-]?(?:\(\d{1,4}\)|\d{1,4})(?:[\x20.-]?\d{2,4}){2,4}(?!\d)|(?<![\d+])\(\d{3}\)\x20?\d{3}[\x20.-]\d{4}(?!\d)|(?<![\d.+-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d.-]*\d)")),
-    ("card", re.compile(r"(?<![\d-])\d(?:[\x20-]?\d){12,18}(?![\d-]*\d)")),
+    ("email", re.compile(r"(?<![\w.+-])[\w.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")),
+    ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", re.ASCII)),
+    ("ip", re.compile(r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.]*\d)", re.ASCII)),
+    ("date", re.compile(r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}([/.-])\d{1,2}\1\d{4})(?![/-]?\d)", re.ASCII)),
+    ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", re.ASCII)),
+    ("phone", re.compile(r"\+\d{1,3}[\x20.-]?(?:\(\d{1,4}\)|\d{1,4})(?:[\x20.-]?\d{2,4}){2,4}(?!\d)|(?<![\d+])\(\d{3}\)\x20?\d{3}[\x20.-]\d{4}(?!\d)|(?<![\d.+-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d.-]*\d)", re.ASCII)),
+    ("card", re.compile(r"(?<![\d-])\d(?:[\x20-]?\d){12,18}(?![\d-]*\d)", re.ASCII)),
 )
 KINDS = tuple(kind for kind, _ in PATTERNS)
 #: A text without any of these holds no value.
-HINT = re.compile(r"\d[\d()./ +-]{6}|@|[A-Z]{2}\d{2}")
+HINT = re.compile(r"\d[\d()./ +-]{6}|@|[A-Z]{2}\d{2}", re.ASCII)
 
 
 class Feistel:
