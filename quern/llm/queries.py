@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import decontaminate, fingerprints, mixing, pii, secret_scan, token_counts, toxicity
+from quern.llm import decontaminate, fingerprints, jaccard_join, mixing, pii, secret_scan, token_counts, toxicity
 from quern.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,8 @@ def op5_token_counts(spark, sf_dir):
 @query
 def op10_pii(spark, sf_dir):
     return pii.pseudonymise(table(spark, sf_dir, "documents"), key=b"query op10")
+
+
+@query
+def op3_jaccard_join(spark, sf_dir):
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
