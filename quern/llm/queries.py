@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import decontaminate, fingerprints, jaccard_join, mixing, pii, secret_scan, token_counts, toxicity
+from quern.llm import decontaminate, fingerprints, jaccard_join, line_dedup, mixing, pii, secret_scan, token_counts, toxicity
 from quern.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,8 @@ def op10_pii(spark, sf_dir):
 @query
 def op3_jaccard_join(spark, sf_dir):
     return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_line_dedup(spark, sf_dir):
+    return line_dedup.dedup(table(spark, sf_dir, "documents"))
