@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import decontaminate, fingerprints, jaccard_join, line_dedup, mixing, pii, secret_scan, token_counts, toxicity
+from quern.llm import decontaminate, fingerprints, jaccard_join, line_dedup, mixing, pii, secret_scan, suffix_dedup, token_counts, toxicity
 from quern.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,8 @@ def op3_jaccard_join(spark, sf_dir):
 @query
 def op2_line_dedup(spark, sf_dir):
     return line_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.repeats(table(spark, sf_dir, "documents"))
