@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from quern.llm import decontaminate, fingerprints, jaccard_join, line_dedup, mixing, pii, secret_scan, suffix_dedup, token_counts, toxicity
 from quern.session import table
 
@@ -95,3 +96,8 @@ def op2_line_dedup(spark, sf_dir):
 @query
 def op1_suffix_dedup(spark, sf_dir):
     return suffix_dedup.repeats(table(spark, sf_dir, "documents"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
