@@ -171,7 +171,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, wid
     n_copies, and n_links: documents whose similarity to this one is at least `threshold`, copies included."""
     bands = bands_for(threshold, recall, rows)
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
-    schema = texts.select("id", F.lit(b"").alias("ckey"), F.lit(0).alias("n"), F.array().cast("array<long>").alias("bands")).schema
+    schema = texts.select("id", F.lit(None).cast("binary").alias("ckey"), F.lit(0).alias("n"), F.lit(None).cast("array<long>").alias("bands")).schema
     signed = written(texts.mapInArrow(lambda b: _signed(b, width, bands, rows), schema), "signed")
     classes = signed.filter("ckey IS NOT NULL").groupBy("ckey").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("size"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     classes = written(classes, "classes")
