@@ -113,15 +113,17 @@ def repeats(docs: DataFrame, id_col: str, text_col: str, *, rare: int, min_words
     """Per distinct text: tkey, rep (least id), whole (enough words to be a block itself) and gone: positions, among the
     lines that aren't blank, to delete; for texts that occur once and lose nothing there is no row."""
     texts = docs.filter(docs[text_col].isNotNull()).select(docs[id_col].alias("id"), text_key(docs[text_col]).alias("tkey"), lines(docs[text_col]).alias("lines"))
-    read = written(texts, "lines")
-    one = read.groupBy("tkey").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("lines").alias("lines"))
+    one = texts.groupBy("tkey").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("lines").alias("lines"))
     one = written(one, "texts")
-    held = one.select("tkey", F.col("rep").isNull().alias("last"), "rep", F.posexplode("lines").alias("pos", "line"))
-    held = held.groupBy("line.h", "tkey").agg(F.first("last").alias("last"), F.first("rep").alias("rep"), F.first("line.words").alias("words"), F.collect_list("pos").alias("at"))
-    held = held.withColumn("holder", F.struct("last", "rep", "tkey", "at"))
-    shared = held.groupBy("h").agg(F.count(F.lit(1)).alias("df"), F.min("holder").alias("first")).filter("df > 1")
-    held = held.join(shared, "h")
-    frequent = held.filter((F.col("df") > rare) & (F.col("tkey") != F.col("first.tkey"))).select("h", "words", F.col("first").alias("x"), F.col("holder").alias("y"))
+    # most lines occur once; they go before anything else about them is shuffled
+    often = one.select(F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    held = one.select("tkey", "rep", F.posexplode("lines").alias("pos", "line")).select("tkey", "rep", "pos", "line.h", "line.words").join(often, "h")
+    held = held.groupBy("h", "tkey").agg(F.first("df").alias("df"), F.first("rep").alias("rep"), F.first("words").alias("words"), F.collect_list("pos").alias("at"))
+    holder = F.struct(F.col("rep").isNull().alias("last"), "rep", "tkey", "at")
+    held = written(held.select("h", "df", "words", holder.alias("holder")), "held")
+    many = held.filter(F.col("df") > rare)
+    firsts = many.groupBy("h").agg(F.min("holder").alias("x"))
+    frequent = many.join(firsts, "h").filter("holder.tkey != x.tkey").select("h", "words", "x", F.col("holder").alias("y"))
     few = held.filter(F.col("df") <= rare).groupBy("h", "words").agg(F.array_sort(F.collect_list("holder")).alias("all"))  # at most `rare`
     pairs = F.flatten(F.transform("all", lambda x, i: F.transform(F.slice("all", i + 2, F.size("all")), lambda y: F.struct(x.alias("x"), y.alias("y")))))
     few = few.select("h", "words", F.explode(pairs).alias("p")).select("h", "words", "p.x", "p.y")
