@@ -7,8 +7,7 @@ regression is fitted on them. Whole texts are scored, in pieces that overlap by
 
 Null texts read as empty; a text without n-grams gets the score of the intercept. Labels that are null are ignored, several
 labels of one id count by their majority (ties: toxic), labelled rows with repeated ids are trained on as often as they
-occur, and a null id is held out. Without labels of both classes every score is the share of label 1 in the sample (0
-without any). An empty table gives no rows. Other columns are ignored, whatever their names.
+occur, and a null id is held out. Without labels of both classes every score is 1 if all are 1, or else 0. An empty table gives no rows. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.session import written
+
 BITS = 20
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
@@ -63,17 +64,17 @@ def fold(id_col: Column, folds: int = 5) -> Column:
 
 
 def _counts(batches: Iterator[pa.RecordBatch], sizes: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
-    """Per task: for each class its rows and, by slot, those that hold it."""
+    """Per task: by slot, the rows of each class that hold it; at slot -1 the rows of each class."""
     held, rows = np.zeros((2, 1 << BITS), dtype=np.int32), [0, 0]
     for batch in batches:
         for text, label in zip(batch.column("text"), batch.column("label").to_pylist(), strict=True):
             rows[label] += 1
             if parts := list(slots(text.as_py() or "", sizes)):
                 held[label][np.unique(np.concatenate(parts))] += 1
-    for label in (0, 1):
-        at = np.flatnonzero(held[label])
-        if rows[label]:
-            yield pa.RecordBatch.from_pydict({"label": pa.array([label], pa.int32()), "rows": pa.array([rows[label]], pa.int64()), "slots": pa.array([at], pa.list_(pa.int32())), "held": pa.array([held[label][at]], pa.list_(pa.int32()))})
+    if any(rows):
+        at = np.flatnonzero(held.any(axis=0))
+        columns = [np.concatenate(([-1], at)), *(np.concatenate(([n], h[at])) for n, h in zip(rows, held, strict=True))]
+        yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int32)) for c in columns], names=["slot", "n0", "n1"])
 
 
 def _kept(batches: Iterator[pa.RecordBatch], sizes: tuple[int, ...], ratio) -> Iterator[pa.RecordBatch]:
@@ -117,23 +118,19 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = marked.orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(max_train)  # bounded, so it can be broadcast
     texts = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     chosen = texts.join(F.broadcast(sample), "id").select("label", "text")
-    counted = chosen.mapInArrow(lambda b: _counts(b, sizes), "label int, rows long, slots array<int>, held array<int>")
-    held, rows = np.zeros((2, 1 << BITS)), np.zeros(2)
-    for part in counted.toLocalIterator():
-        rows[part["label"]] += part["rows"]
-        held[part["label"]][part["slots"]] += part["held"]
-    nothing = np.zeros(1 << BITS, dtype=np.float32)
-    if rows.min() == 0:
-        share = rows[1] / rows.sum() if rows.sum() else 0.0
-        return Model(nothing, -700.0 if share == 0 else 700.0, sizes)
-    ratio = np.log((held[1] + smooth) / (held[1] + smooth).sum()) - np.log((held[0] + smooth) / (held[0] + smooth).sum())
-    expected = np.outer(rows / rows.sum(), held.sum(0)) + 1e-9
-    chi = ((held - expected) ** 2 / expected).sum(0)
-    chi[held.sum(0) < 3] = 0
-    best = np.argsort(-chi, kind="stable")[:n_features]
-    best = np.sort(best[chi[best] > 0])
-    kept = np.zeros(1 << BITS, dtype=np.float32)
-    kept[best] = np.where(ratio[best] == 0, 1e-6, ratio[best])
+    counted = chosen.mapInArrow(lambda b: _counts(b, sizes), "slot int, n0 int, n1 int").groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    counted = written(counted, "slots")
+    totals = counted.agg(*[F.coalesce(F.sum(F.when((F.col("slot") < 0) == outside, F.col(n))), F.lit(0)) for outside in (True, False) for n in ("n0", "n1")]).first()
+    rows, held, nothing = totals[:2], totals[2:], np.zeros(1 << BITS, dtype=np.float32)
+    if min(rows) == 0:
+        return Model(nothing, 700.0 if rows[1] else -700.0, sizes)
+    n = F.col("n0") + F.col("n1")
+    ratio = F.log((F.col("n1") + smooth) / (held[1] + smooth * 2**BITS)) - F.log((F.col("n0") + smooth) / (held[0] + smooth * 2**BITS))
+    chi = sum(F.pow(F.col(c) - n * (r / sum(rows)), 2) / (n * (r / sum(rows))) for c, r in zip(("n0", "n1"), rows, strict=True))
+    top = counted.filter((F.col("slot") >= 0) & (n >= 3)).select("slot", ratio.alias("ratio"), chi.alias("chi")).filter("chi > 0").orderBy(F.desc("chi"), "slot").limit(n_features).collect()
+    best = np.sort(np.array([r["slot"] for r in top], dtype=np.int64))
+    kept = nothing.copy()
+    kept[[r["slot"] for r in top]] = [r["ratio"] or 1e-6 for r in top]
     shared = spark.sparkContext.broadcast(kept)
     found = chosen.mapInArrow(lambda b: _kept(b, sizes, shared), "label int, slots array<int>").toPandas()
     lengths = found["slots"].map(len).to_numpy()
@@ -141,7 +138,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     slot_of = np.concatenate([np.asarray(x, dtype=np.int64) for x in found["slots"]]) if lengths.sum() else np.zeros(0, np.int64)
     col_of = np.searchsorted(best, slot_of)
     w, b = logistic(row_of, col_of, kept[slot_of].astype(float), found["label"].to_numpy(), len(best), penalty)
-    weights = nothing
+    weights = nothing.copy()
     weights[best] = (w * kept[best]).astype(np.float32)
     return Model(weights, b, sizes)
 
