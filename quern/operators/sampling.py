@@ -44,8 +44,9 @@ def allocation(population: DataFrame, size: int, floor: int = MIN_STRATUM_SAMPLE
 def stratified(population: DataFrame, size: int, seed: str, key: str = "entry_id", by: str = "stratum", floor: int = MIN_STRATUM_SAMPLE) -> DataFrame:
     """Of each stratum the rows with the least md5 of seed|key, with sampling_weight; independent of input order."""
     picked = F.row_number().over(Window.partitionBy(by).orderBy(ids.sample_key(seed, F.col(key).cast("string")), key))
-    out = population.join(allocation(population, size, floor, by), by).withColumn("__at", picked)
-    return out.filter("__at <= take").withColumn("sampling_weight", F.col("n") / F.col("take")).drop("__at", "n", "take")
+    shares = allocation(population, size, floor, by).select(by, F.col("n").alias("__n"), F.col("take").alias("__take"))
+    out = population.join(shares, by).withColumn("__at", picked)
+    return out.filter("__at <= __take").withColumn("sampling_weight", F.col("__n") / F.col("__take")).drop("__at", "__n", "__take")
 
 
 def random_sample(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
