@@ -1,7 +1,7 @@
 """Suffix-array dedup (operator 1): sparse suffix arrays over words.
 
-Suffixes are retained at minimisers: of each `window` consecutive runs of `gram` words, where the run with the least hash
-begins. A passage of `min_words` words that occurs twice has a retained suffix among its first `window` words, at the same
+Texts that are equal take part once; those of `min_words` words or more are spans as a whole. Suffixes are retained at
+minimisers: of each `window` consecutive runs of `gram` words, where the run with the least hash begins. A passage of `min_words` words that occurs twice has a retained suffix among its first `window` words, at the same
 place in both occurrences, and from there at least stem = min_words - window + 1 words to go. So:
 
 1. suffixes are grouped by the hash of their first `stem` words; those alone in their group go;
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm.shingles import WordHashes, mixed, runs
@@ -34,24 +34,42 @@ from quern.session import written
 _BASES = (0x2545F4914F6CDD1D, 0x9E3779B97F4A7C15)
 
 
-def run_hashes(hashes: np.ndarray, at: np.ndarray, size: int, base: int = _BASES[0]) -> np.ndarray:
-    """Hashes of the runs of `size` words that begin at `at`, from prefix sums weighted by powers of an odd base."""
-    powers = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(len(hashes), base, np.uint64))), dtype=np.uint64)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes * powers[:-1], dtype=np.uint64)))
-    inverse = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(len(hashes), pow(base, -1, 2**64), np.uint64))), dtype=np.uint64)
-    return mixed((sums[at + size] - sums[at]) * inverse[at])
+class Runs:
+    """Hashes of runs of words from prefix sums weighted by powers of an odd base; powers are kept and grow as needed."""
+
+    def __init__(self, base: int = _BASES[0]):
+        self.base, self.inverse_base = base, pow(base, -1, 2**64)
+        self._grow(1 << 12)
+
+    def _grow(self, n: int) -> None:
+        powers = lambda b: np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(n, b, np.uint64))), dtype=np.uint64)
+        self.powers, self.inverse = powers(self.base), powers(self.inverse_base)
+
+    def __call__(self, hashes: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+        """Hashes of the runs of `size` words that begin at `at`."""
+        if len(hashes) >= len(self.powers):
+            self._grow(2 * len(hashes))
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes * self.powers[: len(hashes)], dtype=np.uint64)))
+        return mixed((sums[at + size] - sums[at]) * self.inverse[at])
+
+
+def sliding(values: np.ndarray, size: int, best) -> np.ndarray:
+    """`best` (a ufunc: minimum or maximum) of each `size` consecutive values, by doubling."""
+    span = 1
+    while span * 2 <= size:
+        values = best(values[:-span], values[span:])
+        span *= 2
+    return best(values[: len(values) - (size - span)], values[size - span :]) if size > span else values
 
 
 def minimisers(hashes: np.ndarray, gram: int, window: int) -> np.ndarray:
-    """Where the least run of `gram` words of each `window` consecutive ones begins (the first, if several do)."""
+    """Where a run of `gram` words begins that is least in some `window` consecutive ones; equal runs all count."""
     grams = runs(hashes, gram) if len(hashes) >= gram else hashes[:0]
     if len(grams) < window:
         return np.zeros(0, np.int64)
-    out, piece = [], 1 << 15
-    for start in range(0, len(grams) - window + 1, piece):
-        part = np.lib.stride_tricks.sliding_window_view(grams[start : start + piece + window - 1], window)
-        out.append(np.unique(part.argmin(axis=1) + np.arange(start, start + len(part))))
-    return np.unique(np.concatenate(out))
+    least = sliding(grams, window, np.minimum)
+    edge = np.zeros(window - 1, np.uint64)
+    return np.flatnonzero(grams == sliding(np.concatenate((edge, least, edge)), window, np.maximum))
 
 
 def _anchors(hashes: np.ndarray, gram: int, window: int, stem: int) -> np.ndarray:
@@ -60,67 +78,103 @@ def _anchors(hashes: np.ndarray, gram: int, window: int, stem: int) -> np.ndarra
 
 
 def _stems(batches: Iterator[pa.RecordBatch], gram: int, window: int, stem: int) -> Iterator[pa.RecordBatch]:
-    """(key of the stem, row, position) of each suffix retained."""
-    words = WordHashes()
+    """(key of the stem, text, whether the text has it more than once) for the stems of the suffixes retained."""
+    words, run_hashes = WordHashes(), Runs()
     for batch in batches:
-        keys, rows, spots = [np.zeros(0, np.uint64)], [], [np.zeros(0, np.int64)]
-        for x, row in zip(batch.column("text"), batch.column("rk").to_pylist(), strict=True):
+        keys, many, rows = [np.zeros(0, np.uint64)], [np.zeros(0, bool)], []
+        for x, row in zip(batch.column("text"), batch.column("ra").to_pylist(), strict=True):
             hashes = words((x.as_py() or "").split())
-            at = _anchors(hashes, gram, window, stem)
-            keys.append(run_hashes(hashes, at, stem))
-            spots.append(at)
-            rows.append((row, len(at)))
-        rk = np.repeat(np.array([r for r, _ in rows], np.int64), np.array([n for _, n in rows], np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(rk), pa.array(np.concatenate(spots).astype(np.int32))], names=["key", "rk", "pos"])
+            key, n = np.unique(run_hashes(hashes, _anchors(hashes, gram, window, stem), stem), return_counts=True)
+            keys.append(key)
+            many.append(n > 1)
+            rows.append((row, len(key)))
+        ra = np.repeat(np.array([r for r, _ in rows], np.int64), np.array([n for _, n in rows], np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(ra), pa.array(np.concatenate(many))], names=["key", "ra", "many"])
+
 
+_SENT = {"side": pa.int8(), "key": pa.int64(), "context": pa.binary(), "size": pa.int8(), "ra": pa.int64(), "rb": pa.int64(), "start": pa.int32(), "end": pa.int32()}
 
-def _contexts(batches: Iterator[pa.RecordBatch], window: int, stem: int) -> Iterator[pa.RecordBatch]:
-    """For each suffix that isn't alone: 32 bits of each of the words after its stem, and of those before it, backwards."""
-    words = WordHashes()
+
+def _contexts(batches: Iterator[pa.RecordBatch], gram: int, window: int, stem: int, min_words: int) -> Iterator[pa.RecordBatch]:
+    """For each suffix that isn't alone: 32 bits of each of the words before its stem, backwards (side 0), and of those after
+    it (side 1); start and end are its stem's. A text that repeats a context has a neighbour in itself for the whole of it:
+    the context goes once, and what that covers goes as a span (side 2), as does all of a text that has copies."""
+    words, first_key, second_key = WordHashes(), Runs(_BASES[0]), Runs(_BASES[1])
     for batch in batches:
         held: list[pa.RecordBatch] = []
-        for x, row, pos in zip(batch.column("text"), batch.column("rk").to_pylist(), batch.column("pos"), strict=True):
+        n_held = 0
+        columns = (batch.column("text"), batch.column("ra").to_pylist(), batch.column("rb").to_pylist(), batch.column("copies").to_pylist(), batch.column("keys"))
+        for x, ra, rb, copies, wanted in zip(*columns, strict=True):
             hashes = words((x.as_py() or "").split())
-            at = np.unique(np.array(pos.as_py(), np.int64))
-            at = at[at + stem <= len(hashes)]
-            n = len(hashes)
+            n, spans = len(hashes), []
+            if copies > 1 and n >= min_words:
+                spans.append((0, n))
+            at = _anchors(hashes, gram, window, stem)
+            keys = np.array(wanted.as_py() or [], np.int64)
+            at = at[np.isin(first_key(hashes, at, stem).view(np.int64), keys)]
             short = np.concatenate((np.zeros(window, np.uint32), (hashes >> np.uint64(32)).astype(np.uint32), np.zeros(window, np.uint32)))
-            after = short[at[:, None] + window + stem + np.arange(window)[None, :]]
-            before = short[at[:, None] + window - 1 - np.arange(window)[None, :]]
-            key, check = (run_hashes(hashes, at, stem, b).view(np.int64) for b in _BASES)
-            for side, part, size in ((0, before, np.minimum(at, window)), (1, after, np.minimum(n - at - stem, window))):
-                data = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * window), len(at), [None, pa.py_buffer(np.ascontiguousarray(part).tobytes())]).cast(pa.binary())
-                held.append(pa.RecordBatch.from_arrays([pa.array(np.full(len(at), side, np.int8)), pa.array(key), pa.array(check), data, pa.array(size.astype(np.int8)), pa.array(np.full(len(at), row, np.int64)), pa.array(at.astype(np.int32))], names=["side", "key", "check", "context", "size", "rk", "pos"]))
-                if sum(h.num_rows for h in held) > 100_000:
-                    yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                    held = []
-        if rows := sum(h.num_rows for h in held):
-            yield pa.Table.from_batches(held).combine_chunks().to_batches(max_chunksize=rows)[0]
+            key = second_key(hashes, at, stem).view(np.int64)
+            parts: dict[str, list] = {k: [] for k in _SENT}
+            for side, shift, size in ((0, window - 1 - np.arange(window), np.minimum(at, window)), (1, window + stem + np.arange(window), np.minimum(n - at - stem, window))):
+                context = np.ascontiguousarray(short[at[:, None] + shift[None, :]])
+                whole = np.concatenate((key.view(np.uint32).reshape(-1, 2), context, size[:, None].astype(np.uint32)), axis=1)
+                _, once, group, times = np.unique(whole, axis=0, return_index=True, return_inverse=True, return_counts=True)
+                again = times[group.reshape(-1)] > 1
+                spans += [(p - s, p + stem) if side == 0 else (p, p + stem + s) for p, s in zip(at[again].tolist(), size[again].tolist(), strict=True)]
+                data = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * window), len(once), [None, pa.py_buffer(context[once].tobytes())]).cast(pa.binary())
+                for name, value in (("side", np.full(len(once), side)), ("key", key[once]), ("context", data), ("size", size[once]), ("ra", np.full(len(once), ra)), ("rb", np.full(len(once), rb)), ("start", at[once]), ("end", at[once] + stem)):
+                    parts[name].append(value)
+            spans = joined(spans)
+            for name, value in (("side", 2), ("key", ra), ("context", None), ("size", 0), ("ra", ra), ("rb", rb)):
+                parts[name].append(pa.array([value] * len(spans), _SENT[name]) if name == "context" else np.full(len(spans), value, np.int64))
+            parts["start"].append(np.array([a for a, _ in spans], np.int64))
+            parts["end"].append(np.array([b for _, b in spans], np.int64))
+            arrays = [pa.concat_arrays([pa.array(v, t) if isinstance(v, np.ndarray) else v for v in parts[name]]) for name, t in _SENT.items()]
+            held.append(pa.RecordBatch.from_arrays(arrays, names=list(_SENT)))
+            n_held += held[-1].num_rows
+            if n_held > 50_000:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches(max_chunksize=n_held)[0]
+                held, n_held = [], 0
+        if n_held:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches(max_chunksize=n_held)[0]
+
+
+def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans in order, those that touch or overlap put together."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (side, key, check, context): the longest common length with a neighbour of the same group. Rows
-    without one are alone after all and go. The last row of a batch waits for the next batch."""
+    """Of rows sorted by (side, key, context): the stem with the longest common length with a neighbour of the same key.
+    Rows without one are alone after all and go; spans (side 2) pass. The last row of a batch waits for the next."""
     wait: dict[str, np.ndarray] | None = None
     open_best = -1
 
     def emit(rows: dict[str, np.ndarray], best: np.ndarray) -> pa.RecordBatch:
-        ok = best >= 0
-        return pa.RecordBatch.from_arrays([pa.array(rows["rk"][ok]), pa.array(rows["pos"][ok]), pa.array(rows["side"][ok]), pa.array(best[ok].astype(np.int8))], names=["rk", "pos", "side", "length"])
+        ok = (best >= 0) | (rows["side"] == 2)
+        more = np.where(rows["side"] == 2, 0, best)
+        start, end = rows["start"] - np.where(rows["side"] == 0, more, 0), rows["end"] + np.where(rows["side"] == 1, more, 0)
+        return pa.RecordBatch.from_arrays([pa.array(c[ok].astype(t)) for c, t in ((rows["ra"], np.int64), (rows["rb"], np.int64), (start, np.int32), (end, np.int32))], names=["ra", "rb", "start", "end"])
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        now = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in ("side", "key", "check", "size", "rk", "pos")}
-        now["context"] = np.frombuffer(b"".join(batch.column("context").to_pylist()), np.uint32).reshape(-1, window)
+        now = {k: batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in ("side", "key", "size", "ra", "rb", "start", "end")}
+        blank = bytes(4 * window)
+        now["context"] = np.frombuffer(b"".join(c or blank for c in batch.column("context").to_pylist()), np.uint32).reshape(-1, window)
         if wait is not None:
             now = {k: np.concatenate((wait[k], now[k])) for k in now}
-        n = len(now["rk"])
-        same = (now["key"][1:] == now["key"][:-1]) & (now["check"][1:] == now["check"][:-1]) & (now["side"][1:] == now["side"][:-1])
+        n = len(now["ra"])
+        same = (now["key"][1:] == now["key"][:-1]) & (now["side"][1:] == now["side"][:-1])
         differ = now["context"][1:] != now["context"][:-1]
         common = np.where(differ.any(axis=1), differ.argmax(axis=1), window) if n > 1 else np.zeros(0, np.int64)
-        common = np.minimum(np.minimum(common, now["size"][1:]), now["size"][:-1])
-        common = np.where(same, common, -1)
+        common = np.where(same, np.minimum(np.minimum(common, now["size"][1:]), now["size"][:-1]), -1)
         best = np.full(n, -1, np.int64)
         best[:-1] = common
         best[1:] = np.maximum(best[1:], common)
@@ -132,27 +186,13 @@ def _neighbours(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.R
         yield emit(wait, np.array([open_best]))
 
 
-def _spans(batches: Iterator[pa.RecordBatch], stem: int, min_words: int) -> Iterator[pa.RecordBatch]:
+def _spans(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows, starts, ends = [], [], []
-        for rk, found in zip(batch.column("rk").to_pylist(), batch.column("found").to_pylist(), strict=True):
-            here: list[list[int]] = []
-            parts = sorted((x["pos"] - (x["length"] if x["side"] == 0 else 0), x["pos"] + stem + (x["length"] if x["side"] else 0)) for x in found)
-            for a, b in parts:
-                if here and a <= here[-1][1]:
-                    here[-1][1] = max(here[-1][1], b)
-                else:
-                    here.append([a, b])
-            for a, b in here:
-                if b - a >= min_words:
-                    rows.append(rk)
-                    starts.append(a)
-                    ends.append(b)
-        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], names=["rk", "start_word", "end_word"])
-
-
-def row_key(id_col: Column, text_col: Column) -> Column:
-    return F.xxhash64(id_col.cast("string"), text_col)
+        out = []
+        for ra, rb, found in zip(batch.column("ra").to_pylist(), batch.column("rb").to_pylist(), batch.column("found").to_pylist(), strict=True):
+            out += [(ra, rb, a, b) for a, b in joined([(x["start"], x["end"]) for x in found]) if b - a >= min_words]
+        columns = list(zip(*out, strict=True)) or [[], [], [], []]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["ra", "rb", "start_word", "end_word"])
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_words: int = 50, gram: int = 8, window: int = 16) -> DataFrame:
@@ -160,18 +200,19 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     stem = min_words - window + 1
     if stem < gram:
         raise ValueError("min_words must be at least window + gram - 1")
-    texts = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
-    texts = texts.withColumn("rk", row_key(F.col("id"), F.col("text")))
-    stems = texts.select("text", "rk").mapInArrow(lambda b: _stems(b, gram, window, stem), "key long, rk long, pos int")
-    stems = written(stems, "stems")
-    often = stems.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    met = stems.join(often, "key").groupBy("rk").agg(F.collect_list("pos").alias("pos"))
-    sent = texts.select("text", "rk").join(met, "rk")
-    contexts = sent.mapInArrow(lambda b: _contexts(b, window, stem), "side byte, key long, check long, context binary, size byte, rk long, pos int")
-    order = ["side", "key", "check", "context"]
-    dealt = contexts.repartition("side", "key", "check").sortWithinPartitions(*order)
-    lengths = dealt.mapInArrow(lambda b: _neighbours(b, window), "rk long, pos int, side byte, length byte")
-    found = lengths.groupBy("rk").agg(F.collect_list(F.struct("pos", "side", "length")).alias("found"))
-    spans = found.mapInArrow(lambda b: _spans(b, stem, min_words), "rk long, start_word int, end_word int")
-    out = texts.select("id", "rk").join(spans, "rk")
+    texts = docs.filter(docs[text_col].isNotNull()).select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
+    texts = texts.withColumn("ra", F.xxhash64("text")).withColumn("rb", F.xxhash64("text", F.lit(1)))  # 128 bits name a text
+    stems = written(texts.select("text", "ra").mapInArrow(lambda b: _stems(b, gram, window, stem), "key long, ra long, many boolean"), "stems")
+    often = stems.groupBy("key").agg(F.min("ra").alias("least"), F.max("ra").alias("most"), F.max("many").alias("many")).filter("least != most OR many").select("key")
+    met = stems.join(often, "key").groupBy("ra").agg(F.collect_set("key").alias("keys"))
+    # copies meet in one row before they are shuffled
+    once = texts.groupBy("ra", "rb").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
+    met = met.join(texts.select("ra", "rb").distinct(), "ra")
+    sent = once.join(met, ["ra", "rb"], "left").filter("copies > 1 OR keys IS NOT NULL").select("text", "ra", "rb", "copies", "keys")
+    contexts = sent.mapInArrow(lambda b: _contexts(b, gram, window, stem, min_words), "side byte, key long, context binary, size byte, ra long, rb long, start int, end int")
+    dealt = contexts.repartition("side", "key").sortWithinPartitions("side", "key", "context")
+    lengths = dealt.mapInArrow(lambda b: _neighbours(b, window), "ra long, rb long, start int, end int")
+    found = lengths.groupBy("ra", "rb").agg(F.collect_list(F.struct("start", "end")).alias("found"))
+    spans = found.mapInArrow(lambda b: _spans(b, min_words), "ra long, rb long, start_word int, end_word int")
+    out = texts.select("id", "ra", "rb").join(spans, ["ra", "rb"])
     return out.select(F.col("id").alias(id_col), "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"))

@@ -44,9 +44,19 @@ def test_clean_documents_have_no_span(spark):
 def test_run_hashes_tell_runs_apart():
     h = WordHashes()("a b c a b d a b c".split())
     at = np.arange(len(h) - 2)
-    got = suffix_dedup.run_hashes(h, at, 3)
+    got = suffix_dedup.Runs()(h, at, 3)
     assert got[0] == got[6] and len(set(got.tolist())) == 6
-    assert (suffix_dedup.run_hashes(h, at, 3, suffix_dedup._BASES[1]) != got).any()
+    assert (suffix_dedup.Runs(suffix_dedup._BASES[1])(h, at, 3) != got).all()
+    long = WordHashes()([str(k % 700) for k in range(9000)])
+    far = suffix_dedup.Runs()(long, np.arange(8000), 5)
+    assert (far[:1000] == far[700:1700]).all() and len(set(far.tolist())) == 700
+
+
+def test_sliding_against_brute_force():
+    rng = np.random.default_rng(0)
+    for size in range(1, 20):
+        x = rng.integers(0, 50, 40).astype(np.uint64)
+        assert suffix_dedup.sliding(x, size, np.minimum).tolist() == [x[i : i + size].min() for i in range(41 - size)]
 
 
 def test_minimisers_depend_on_content_only():
