@@ -615,20 +615,42 @@ def _curated(spark, sf_dir):
     return curate.curate(rows)
 
 
-@query()
+KEPT = f"""{RAW}, kept AS (SELECT *, coalesce(etymology_text, '__missing__') AS ety FROM raw WHERE word <> '' AND pos IN ('noun','verb','adj','adv','name','suffix','proverb')),
+lines AS (SELECT id, lang_code, lower(word) AS w, pos, ety, unnest(generate_series(1, len(glosses))) AS i, trim(unnest(glosses), chr(32) || chr(9) || chr(10) || chr(13)) AS gloss FROM kept),
+groups AS (SELECT lang_code, w, pos, ety, count(DISTINCT gloss) FILTER (WHERE gloss <> '') AS n FROM lines GROUP BY 1, 2, 3, 4),
+sized AS (SELECT lang_code, w, CAST(count(*) AS INTEGER) AS n_groups, CAST(sum(n) AS INTEGER) AS n_senses, CAST(count(*) FILTER (WHERE n > 0) AS INTEGER) AS with_senses, CAST(count(DISTINCT ety) AS INTEGER) AS n_etymologies,
+  bool_and(pos = 'name') AS all_names, bool_or(pos = 'proverb') AS proverb, bool_or(pos = 'suffix') AS affix FROM groups GROUP BY 1, 2),
+heads AS (SELECT lang_code, lower(word) AS w, first(word ORDER BY id) AS word, coalesce(string_agg(DISTINCT CASE pos WHEN 'name' THEN 'entry_type:proper_name' WHEN 'suffix' THEN 'entry_type:affix' WHEN 'proverb' THEN 'entry_type:proverb' END, ','
+  ORDER BY CASE pos WHEN 'name' THEN 'entry_type:proper_name' WHEN 'suffix' THEN 'entry_type:affix' WHEN 'proverb' THEN 'entry_type:proverb' END), '') AS flags,
+  sha1(from_hex('6ba7b8119dad11d180b400c04fd430c8') || encode(lang_code || '|' || lower(word))) AS d FROM kept GROUP BY lang_code, lower(word)),
+ids AS (SELECT lang_code, w, word, flags, d[1:8] || '-' || d[9:12] || '-5' || d[14:16] || '-' || '89ab'[CAST(('0x' || d[17]) AS INTEGER) % 4 + 1] || d[18:20] || '-' || d[21:32] AS entry_id FROM heads)"""
+
+
+@query(f"WITH {KEPT} SELECT entry_id, word, w AS normalized_word, lang_code, flags, n_groups AS groups, n_senses AS senses FROM ids JOIN sized USING (lang_code, w)")
 def curated_entries(spark, sf_dir):
-    """Curation end to end (T2); tests hold it against plain Python."""
+    """Curation end to end."""
     n = F.aggregate("pos_groups", F.lit(0), lambda a, g: a + F.size(g["senses"]))
     return _curated(spark, sf_dir).entries.select("entry_id", "word", "normalized_word", "lang_code", F.array_join("entry_flags", ",").alias("flags"), F.size("pos_groups").alias("groups"), n.alias("senses"))
 
 
-@query()
+@query(f"""
+WITH {KEPT}
+SELECT lang_code, nullif(lower(word), '') AS word, CASE WHEN word = '' THEN 'missing_lexical_identity' WHEN pos = 'conj' THEN 'unknown_pos' ELSE 'record_type_out_of_scope' END AS reason_code,
+  CASE WHEN word = '' OR pos = 'conj' THEN 'high' WHEN pos = 'character' THEN 'low' ELSE 'medium' END AS severity,
+  CASE WHEN word = '' THEN 'defer' WHEN pos = 'conj' THEN 'requires_rule_update' WHEN pos = 'character' THEN 'drop' ELSE 'convert_to_relation' END AS suggested_action, pos, CAST(NULL AS VARCHAR) AS sense_index
+FROM raw WHERE word = '' OR pos IN ('romanization', 'character', 'conj')
+UNION ALL SELECT lang_code, w, 'missing_gloss', 'medium', 'defer', pos, CAST(i AS VARCHAR) FROM lines WHERE gloss = ''
+""")
 def triage_items(spark, sf_dir):
     """Rows and senses set aside."""
-    return _curated(spark, sf_dir).triage.select("lang_code", "word", "reason_code", "severity", "suggested_action", "payload.pos", "payload.sense_index")
+    found = _curated(spark, sf_dir).triage
+    return found.select("lang_code", "word", "reason_code", "severity", "suggested_action", "payload.pos", F.col("payload.sense_index").cast("string").alias("sense_index"))
 
 
-@query()
+@query(f"""
+WITH {KEPT} SELECT entry_id, CASE WHEN proverb THEN 'proverb' WHEN affix THEN 'affix' WHEN all_names THEN 'proper_name' ELSE 'standard' END AS entry_type, with_senses AS groups, n_etymologies AS etymologies
+FROM ids JOIN sized USING (lang_code, w) WHERE with_senses > 0
+""")
 def distribution_docs(spark, sf_dir):
     """Entries through a stand-in generator into documents."""
     bundle = generate.Bundle("v1", "zh-Hans", "Chinese (Simplified)")
