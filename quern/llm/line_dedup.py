@@ -117,12 +117,13 @@ def repeats(docs: DataFrame, id_col: str, text_col: str, *, rare: int, min_words
     one = written(one, "texts")
     # most lines occur once; they go before anything else about them is shuffled
     often = one.select(F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    often = written(often, "often")  # a plain table, so that a join with it can split a frequent line over tasks
     held = one.select("tkey", "rep", F.posexplode("lines").alias("pos", "line")).select("tkey", "rep", "pos", "line.h", "line.words").join(often, "h")
-    held = held.groupBy("h", "tkey").agg(F.first("df").alias("df"), F.first("rep").alias("rep"), F.first("words").alias("words"), F.collect_list("pos").alias("at"))
+    held = held.repartition("tkey", "h").groupBy("h", "tkey").agg(F.first("df").alias("df"), F.first("rep").alias("rep"), F.first("words").alias("words"), F.collect_list("pos").alias("at"))
     holder = F.struct(F.col("rep").isNull().alias("last"), "rep", "tkey", "at")
     held = written(held.select("h", "df", "words", holder.alias("holder")), "held")
     many = held.filter(F.col("df") > rare)
-    firsts = many.groupBy("h").agg(F.min("holder").alias("x"))
+    firsts = written(many.groupBy("h").agg(F.min("holder").alias("x")), "firsts")
     frequent = many.join(firsts, "h").filter("holder.tkey != x.tkey").select("h", "words", "x", F.col("holder").alias("y"))
     few = held.filter(F.col("df") <= rare).groupBy("h", "words").agg(F.array_sort(F.collect_list("holder")).alias("all"))  # at most `rare`
     pairs = F.flatten(F.transform("all", lambda x, i: F.transform(F.slice("all", i + 2, F.size("all")), lambda y: F.struct(x.alias("x"), y.alias("y")))))
@@ -134,7 +135,7 @@ def repeats(docs: DataFrame, id_col: str, text_col: str, *, rare: int, min_words
     whole = F.aggregate("lines", F.lit(0), lambda n, x: n + x["words"]) >= min_words
     out = one.join(gone, "tkey", "left").filter("copies > 1 OR gone IS NOT NULL")
     index = F.transform("gone", lambda p: F.get(F.col("lines"), p)["index"])
-    return out.select("tkey", "rep", whole.alias("whole"), F.coalesce(index, F.array().cast("array<int>")).alias("gone"))
+    return written(out.select("tkey", "rep", whole.alias("whole"), F.coalesce(index, F.array().cast("array<int>")).alias("gone")), "gone")
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, rare: int = 4, min_words: int = 8) -> DataFrame:
