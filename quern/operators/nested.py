@@ -28,7 +28,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def dedupe(items: Column, key: Key) -> Column:
     """Of the elements with equal keys the first, order kept; nulls in keys are equal."""
-    return let(items, lambda xs: let(F.transform(xs, key), lambda ks: F.filter(xs, lambda x, i: F.array_position(ks, key(x)) == i + 1)))
+    boxed = lambda x: F.struct(key(x).alias("k"))  # noqa: E731  a null is not found, a struct of it is
+    return let(items, lambda xs: let(F.transform(xs, boxed), lambda ks: F.filter(xs, lambda x, i: F.array_position(ks, boxed(x)) == i + 1)))
 
 
 def cap_per_key(items: Column, key: Key, cap: int) -> Column:
