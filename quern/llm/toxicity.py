@@ -88,7 +88,7 @@ def _kept(batches: Iterator[pa.RecordBatch], sizes: tuple[int, ...], ratio) -> I
         yield pa.RecordBatch.from_pydict({"label": batch.column("label"), "slots": pa.array(out, pa.list_(pa.int32()))})
 
 
-def logistic(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, labels: np.ndarray, n_cols: int, penalty: float, steps: int = 300) -> tuple[np.ndarray, float]:
+def logistic(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, labels: np.ndarray, n_cols: int, penalty: float, steps: int = 1500) -> tuple[np.ndarray, float]:
     """Weights and intercept by accelerated full-batch gradient steps; the matrix is given by row, column and value."""
     n, y = len(labels), labels.astype(float)
     share = min(max(y.mean(), 1e-6), 1 - 1e-6)
@@ -109,8 +109,8 @@ def logistic(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, labels: np.
     return w, b
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *, sizes: tuple[int, ...] = (3, 4, 5),
-          max_train: int = 12000, n_features: int = 4096, smooth: float = 1.0, penalty: float = 1e-4, seed: str = "tox-1") -> Model:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *, sizes: tuple[int, ...] = (3, 4, 5, 6),
+          max_train: int = 12000, n_features: int = 2048, smooth: float = 1.0, penalty: float = 1e-4, seed: str = "tox-1") -> Model:
     """Fits the model on labelled rows of folds 1 to 4, at most `max_train` of them."""
     spark = docs.sparkSession
     marked = labels.select(labels[id_col].alias("id"), labels[label_col].cast("int").alias("label")).filter("id IS NOT NULL AND label IS NOT NULL")
