@@ -26,15 +26,17 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def dedupe(items: Column, key: Key) -> Column:
-    """Of the elements with equal keys the first, order kept; nulls in keys are equal."""
-    boxed = lambda x: F.struct(key(x).alias("k"))  # noqa: E731  a null is not found, a struct of it is
-    return let(items, lambda xs: let(F.transform(xs, boxed), lambda ks: F.filter(xs, lambda x, i: F.array_position(ks, boxed(x)) == i + 1)))
+def cap_per_key(items: Column, key: Key, cap: int) -> Column:
+    """At most `cap` elements of each key, the first ones, order kept; nulls in keys are equal. By sorting on (key, place),
+    where an element is one too many if the one `cap` places before has its key."""
+    placed = lambda x, i: F.struct(F.struct(key(x).alias("k")).alias("k"), i.alias("i"))
+    kept = lambda ts: F.filter(ts, lambda t, j: ~F.get(ts, j - cap)["k"].eqNullSafe(t["k"]))
+    return let(items, lambda xs: let(F.array_sort(F.transform(xs, placed)), lambda ts: F.transform(F.array_sort(F.transform(kept(ts), lambda t: t["i"])), lambda i: F.get(xs, i))))
 
 
-def cap_per_key(items: Column, key: Key, cap: int) -> Column:
-    """At most `cap` elements of each key, the first ones, order kept."""
-    return let(items, lambda xs: let(F.transform(xs, key), lambda ks: F.filter(xs, lambda x, i: F.size(F.filter(F.slice(ks, F.lit(1), i + 1), lambda k: k.eqNullSafe(key(x)))) <= cap)))
+def dedupe(items: Column, key: Key) -> Column:
+    """Of the elements with equal keys the first, order kept."""
+    return cap_per_key(items, key, 1)
 
 
 def trim(items: Column, cap: int, flag: str, flags_field: str) -> tuple[Column, Column]:
