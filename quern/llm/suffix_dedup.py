@@ -152,15 +152,13 @@ def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def _neighbours(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by (side, key, context): the stem with the longest common length with a neighbour of the same key.
-    Rows without one are alone after all and go; spans (side 2) pass. The last row of a batch waits for the next."""
+    Spans (side 2) pass. The last row of a batch waits for the next."""
     wait: dict[str, np.ndarray] | None = None
-    open_best = -1
+    open_best = 0
 
     def emit(rows: dict[str, np.ndarray], best: np.ndarray) -> pa.RecordBatch:
-        ok = (best >= 0) | (rows["side"] == 2)
-        more = np.where(rows["side"] == 2, 0, best)
-        start, end = rows["start"] - np.where(rows["side"] == 0, more, 0), rows["end"] + np.where(rows["side"] == 1, more, 0)
-        return pa.RecordBatch.from_arrays([pa.array(c[ok].astype(t)) for c, t in ((rows["ra"], np.int64), (rows["rb"], np.int64), (start, np.int32), (end, np.int32))], names=["ra", "rb", "start", "end"])
+        start, end = rows["start"] - np.where(rows["side"] == 0, best, 0), rows["end"] + np.where(rows["side"] == 1, best, 0)
+        return pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in ((rows["ra"], np.int64), (rows["rb"], np.int64), (start, np.int32), (end, np.int32))], names=["ra", "rb", "start", "end"])
 
     for batch in batches:
         if not batch.num_rows:
@@ -174,8 +172,8 @@ def _neighbours(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.R
         same = (now["key"][1:] == now["key"][:-1]) & (now["side"][1:] == now["side"][:-1])
         differ = now["context"][1:] != now["context"][:-1]
         common = np.where(differ.any(axis=1), differ.argmax(axis=1), window) if n > 1 else np.zeros(0, np.int64)
-        common = np.where(same, np.minimum(np.minimum(common, now["size"][1:]), now["size"][:-1]), -1)
-        best = np.full(n, -1, np.int64)
+        common = np.where(same, np.minimum(np.minimum(common, now["size"][1:]), now["size"][:-1]), 0)
+        best = np.zeros(n, np.int64)
         best[:-1] = common
         best[1:] = np.maximum(best[1:], common)
         if wait is not None:
@@ -204,13 +202,15 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     texts = texts.withColumn("ra", F.xxhash64("text")).withColumn("rb", F.xxhash64("text", F.lit(1)))  # 128 bits name a text
     stems = written(texts.select("text", "ra").mapInArrow(lambda b: _stems(b, gram, window, stem), "key long, ra long, many boolean"), "stems")
     often = stems.groupBy("key").agg(F.min("ra").alias("least"), F.max("ra").alias("most"), F.max("many").alias("many")).filter("least != most OR many").select("key")
+    often = written(often, "often")  # a plain table, so that a join with it can split a frequent stem over tasks
     met = stems.join(often, "key").groupBy("ra").agg(F.collect_set("key").alias("keys"))
     # copies meet in one row before they are shuffled
     once = texts.groupBy("ra", "rb").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
     met = met.join(texts.select("ra", "rb").distinct(), "ra")
     sent = once.join(met, ["ra", "rb"], "left").filter("copies > 1 OR keys IS NOT NULL").select("text", "ra", "rb", "copies", "keys")
     contexts = sent.mapInArrow(lambda b: _contexts(b, gram, window, stem, min_words), "side byte, key long, context binary, size byte, ra long, rb long, start int, end int")
-    dealt = contexts.repartition("side", "key").sortWithinPartitions("side", "key", "context")
+    # neighbours that share no word have nothing to add, so the first word helps to spread a frequent stem
+    dealt = contexts.repartition("side", "key", F.substring("context", 1, 4)).sortWithinPartitions("side", "key", "context")
     lengths = dealt.mapInArrow(lambda b: _neighbours(b, window), "ra long, rb long, start int, end int")
     found = lengths.groupBy("ra", "rb").agg(F.collect_list(F.struct("start", "end")).alias("found"))
     spans = found.mapInArrow(lambda b: _spans(b, min_words), "ra long, rb long, start_word int, end_word int")
