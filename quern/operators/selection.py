@@ -2,10 +2,30 @@
 
 from __future__ import annotations
 
+from dataclasses import asdict, dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+@dataclass(frozen=True)
+class Rule:
+    """Which headwords of a language are taken, as runs record it."""
+
+    lang: str
+    version: str
+    min_zipf: float
+    phrase_min_zipf: float | None = None
+
+    def metadata(self) -> dict:
+        return asdict(self) | {"method": "token_frequency", "phrases": "own bar" if self.phrase_min_zipf is not None else "same bar"}
+
+    def apply(self, heads: DataFrame, frequencies: DataFrame) -> DataFrame:
+        """(lang_code, normalized_word) of the heads taken, for curate()."""
+        own = heads.filter(F.col("lang_code") == self.lang).select("lang_code", "normalized_word").distinct()
+        return selected(own, frequencies, self.min_zipf, self.phrase_min_zipf, "normalized_word").select("lang_code", "normalized_word")
+
+
 def threshold(frequencies: DataFrame, top_n: int, token: str = "token", score: str = "zipf") -> float:
     """The frequency of the top_n-th token."""
     if top_n <= 0:

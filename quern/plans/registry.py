@@ -23,7 +23,7 @@ TABLES = {
     "prompts": "prompt_version string, prompt_text string, definition_language_code string, definition_language_name string",
     "artifacts": "run_id string, artifact_type string, output_path string, output_sha256 string, entry_count long, metadata string, created_at timestamp",
     "raw": "id long, run_id string, snapshot_id string, source_line long, source_byte_offset long, word string, lang string, lang_code string, pos string, payload string",
-    "anomalies": "run_id string, snapshot_id string, source_line long, anomaly_type string, detail string, raw_payload string",
+    "anomalies": "run_id string, snapshot_id string, source_line long, source_byte_offset long, anomaly_type string, detail string, raw_payload string",
     "reviews": "entry_id string, enrichment_input_hash string, review_prompt_version string, judge_model string, sample_seed string, stratum string, sampling_weight double, verdict string, scores string, issues string, run_id string",
     "enrichments": "enrichment_id string, run_id string, entry_id string, model string, prompt_version string, definition_language_code string, definition_language_name string, input_hash string, status string, request_payload string, response_payload string, raw_response string, error string, retries int, generation_metadata string, created_at timestamp",
 }
@@ -72,6 +72,9 @@ class Registry:
     def fail(self, run_id: str, error: str) -> None:
         self._update(run_id, status="failed", error=error, finished_at=now())
 
+    def cancel(self, run_id: str) -> None:
+        self._update(run_id, status="cancelled", finished_at=now())
+
     def update_config(self, run_id: str, updates: dict) -> None:
         """A shallow merge."""
         config = json.loads(self.table("runs").read().filter(F.col("run_id") == run_id).first()["config"])

@@ -38,12 +38,15 @@ def tracked(stage: str):
 
 
 def counts(registry: Registry, snapshot_id: str) -> dict:
-    """What is stored of a snapshot: rows, anomalies and the last line."""
+    """What is stored of a snapshot: rows, anomalies and the last line with its offset."""
+
     def of(name: str):
-        return registry.table(name).read().filter(F.col("snapshot_id") == snapshot_id).agg(F.count(F.lit(1)), F.coalesce(F.max("source_line"), F.lit(0))).first()
+        last = F.max(F.struct("source_line", "source_byte_offset"))
+        return registry.table(name).read().filter(F.col("snapshot_id") == snapshot_id).agg(F.count(F.lit(1)), last).first()
 
     rows, anomalies = of("raw"), of("anomalies")
-    return {"rows": rows[0], "anomalies": anomalies[0], "last_line": max(rows[1], anomalies[1])}
+    last = max(((x[0], x[1] or 0) for _, x in (rows, anomalies) if x), default=(0, 0))
+    return {"rows": rows[0], "anomalies": anomalies[0], "last_line": last[0], "last_offset": last[1]}
 
 
 @tracked("source.ingest")
@@ -64,16 +67,16 @@ def ingest(registry: Registry, run_id: str, path: str, *, source_name: str = "lo
     raw = registry.table("raw")
     before = raw.read().agg(F.coalesce(F.max("id"), F.lit(0))).first()[0] - stored["last_line"]
     raw.append(scanned.filter("kind = 'record'").withColumnRenamed("json_text", "payload").withColumn("id", F.col("source_line") + before))
-    registry.table("anomalies").append(scanned.filter("kind != 'record'").select("run_id", "snapshot_id", "source_line", F.col("kind").alias("anomaly_type"), "detail", F.col("json_text").alias("raw_payload")))
+    registry.table("anomalies").append(scanned.filter("kind != 'record'").select("run_id", "snapshot_id", "source_line", "source_byte_offset", F.col("kind").alias("anomaly_type"), "detail", F.col("json_text").alias("raw_payload")))
     now = counts(registry, snapshot_id)
     registry.checkpoint(run_id, "source.ingest", snapshot_id, now)
     return {"snapshot_id": snapshot_id, **now}
 
 
 @tracked("entries.assemble")
-def assemble(registry: Registry, run_id: str, *, languages: list[str] | None = None, selected: DataFrame | None = None, replace: bool = False) -> dict:
+def assemble(registry: Registry, run_id: str, *, languages: list[str] | None = None, selected: DataFrame | None = None, limit_groups: int | None = None, replace: bool = False) -> dict:
     """Raw rows into entries, relations and triage: upserted, replaced by entry, replaced by (lang_code, word)."""
-    made = curate.curate(registry.table("raw").read(), languages, selected)
+    made = curate.curate(registry.table("raw").read(), languages, selected, limit_groups)
     entries, relations, triage = registry.table("entries", ENTRY), registry.table("relations", RELATIONS), registry.table("triage", TRIAGE)
     if replace:
         for t in (entries, relations, triage, registry.table("enrichments")):
@@ -90,8 +93,7 @@ def generate_definitions(registry: Registry, run_id: str, bundle: generate.Bundl
     registry.register_prompt(bundle.version, bundle.text("entry"), bundle.language_code, bundle.language_name)
     log = registry.table("enrichments")
     entries = registry.table("entries", ENTRY).read()
-    new = generate.enriched(entries, None if recompute else log.read(), bundle, run_id, generator, **options)
-    log.append(new.limit(limit) if limit else new)
+    log.append(generate.enriched(entries, None if recompute else log.read(), bundle, run_id, generator, limit=limit, **options))
     own = log.read().filter(F.col("run_id") == run_id)
     return {"succeeded": own.filter("status = 'succeeded'").count(), "failed": own.filter("status = 'failed'").count()}
 

@@ -172,3 +172,45 @@ def test_cli(spark, tmp_path, capsys):
     for args in (["init-db"], ["ingest-snapshot", str(tmp_path / "a.jsonl")], ["assemble-entries", "--lang", "en"], ["generate-definitions"], ["export-distribution", str(tmp_path / "d.jsonl")], ["validate-distribution", str(tmp_path / "d.jsonl")]):
         assert cli.main([*store, *args]) == 0
     assert json.loads(capsys.readouterr().out.splitlines()[-1]) == {"documents": 1}
+
+
+def test_limits(built, spark):
+    from quern.operators import curate, selection
+
+    registry, _, _, _ = built
+    rows = registry.table("raw").read()
+    assert [r["normalized_word"] for r in curate.curate(rows, limit_groups=1).entries.collect()] == ["cat"]
+    out = stages.generate_definitions(registry, Bundle("v7", "de", "German"), limit=1)
+    assert (out["succeeded"], stages.pending_count(registry, Bundle("v7", "de", "German"))) == (1, 1)
+    freq = spark.createDataFrame([("cat", 4.0), ("set", 2.0)], "token string, zipf double")
+    rule = selection.Rule("en", "v1", 3.0)
+    heads = rule.apply(curate.grouped_scan(rows), freq)
+    assert [r["normalized_word"] for r in curate.curate(rows, selected=heads).entries.collect()] == ["cat"] and rule.metadata()["min_zipf"] == 3.0
+
+
+def test_cancel(spark, tmp_path):
+    registry = Registry(spark, str(tmp_path))
+    run = registry.start("entries.assemble", {"a": 1})
+    registry.update_config(run, {"b": 2})
+    registry.cancel(run)
+    row = registry.table("runs").read().first()
+    assert row["status"] == "cancelled" and json.loads(row["config"]) == {"a": 1, "b": 2}
+    with pytest.raises(KeyError):
+        registry.complete("none", {})
+
+
+def test_fixture_builder(spark, tmp_path):
+    from quern.plans import fixture
+
+    path = tmp_path / "d.jsonl"
+    records = [noun(f"w{i}", pos=("noun", "verb", "adj")[i % 3], forms=[{"form": "f"}] * (i % 2), categories=["c"] * (i % 5)) for i in range(90)]
+    path.write_text("".join(json.dumps(r) + "\n" for r in records))
+    chosen, summaries = fixture.build(spark, str(path), limit=20, per_bucket=12, pool=5, quota=8)
+    got = chosen.collect()
+    assert len({r["source_line"] for r in got}) == len(got) == 20 and len({r["bucket"] for r in got}) == 3
+    assert [r["source_line"] for r in got] == sorted(r["source_line"] for r in got)
+    assert sum(r["count"] for r in summaries["bucket"].collect()) == 90
+    assert {r["signature"] for r in summaries["signature"].collect()} == {"senses", "senses+categories", "senses+forms", "senses+forms+categories"}
+    path.write_text("{bad\n")
+    with pytest.raises(ValueError, match="d.jsonl:1"):
+        fixture.build(spark, str(path))
