@@ -6,7 +6,7 @@ sketch of a union is the union of sketches and containment between very unequal
 
 Null texts count as empty; a text without words, or one of whose hashes none is low, has an empty sketch. Two empty sketches
 are alike (1.0) if the texts are equal and unlike (0.0) otherwise. Rows with a null id come last in the order of documents;
-rows with equal ids are ordered by text, and rows equal in both are interchangeable. An empty table gives no rows. Other
+rows with equal ids are ordered by text, and rows equal in both are interchangeable. Ids are integers. An empty table gives no rows. Other
 columns are ignored, whatever their names.
 """
 

@@ -107,12 +107,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 def shuffled(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", *, seed: str = "mix-1") -> DataFrame:
     """The mix itself: `docs` joined with their rows of mix(), a row for each copy with its shard, epoch, the words
-    taken of it and `place`, the key by which a shard's copies are shuffled. Ids must be unique and not null."""
+    taken of it and `place`, the key by which a shard's copies are shuffled, in place of columns of these names. Ids must be
+    unique and not null."""
     copies = mixed.filter("shards != ''").select(id_col, "size", "taken", F.posexplode(F.split("shards", ",")).alias("epoch", "shard"))
     copies = copies.select(
         F.col(id_col).alias("__id"), "epoch", F.col("shard").cast("int").alias("shard"),
         F.least(F.col("size"), F.col("taken") - F.col("epoch") * F.col("size")).alias("words"),
         _key(seed, F.lit("place"), F.col("shard"), F.col("epoch"), F.col(id_col)).alias("place"),
     )
-    out = docs.join(copies, docs[id_col] == copies["__id"]).drop("__id")
+    plain = docs.drop("epoch", "shard", "words", "place")
+    out = plain.join(copies, plain[id_col] == copies["__id"]).drop("__id")
     return out.repartition("shard").sortWithinPartitions("shard", "place")

@@ -52,7 +52,7 @@ def test_shards_get_equal_blocks_and_every_copy_once(spark):
     rows = [(i, "w " * (i % 7 + 1), f"s{i % 4}") for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     mixed = mixing.mix(docs, docs_per_block=5, shards=4)
-    out = mixing.shuffled(docs, mixed)
+    out = mixing.shuffled(docs.withColumn("shard", F.lit("x")), mixed)
     assert {r["shard"] for r in out.select("shard").distinct().collect()} == {0, 1, 2, 3}
     taken = {r["doc_id"]: r["words"] for r in out.groupBy("doc_id").agg(F.sum("words").alias("words")).collect()}
     assert taken == {r["doc_id"]: r["taken"] for r in mixed.collect() if r["taken"]}
