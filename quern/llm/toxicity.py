@@ -117,7 +117,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     marked = marked.groupBy("id").agg((F.avg("label") >= 0.5).cast("int").alias("label")).filter(fold(F.col("id")) != 0)
     sample = marked.orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(max_train)  # bounded, so it can be broadcast
     texts = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    chosen = texts.join(F.broadcast(sample), "id").select("label", "text")
+    chosen = written(texts.join(F.broadcast(sample), "id").select("label", "text"), "sample")  # the documents are scanned once for it
     counted = chosen.mapInArrow(lambda b: _counts(b, sizes), "slot int, n0 int, n1 int").groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     counted = written(counted, "slots")
     totals = counted.agg(*[F.coalesce(F.sum(F.when((F.col("slot") < 0) == outside, F.col(n))), F.lit(0)) for outside in (True, False) for n in ("n0", "n1")]).first()
