@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quern.schemas import EXAMPLE, FORM, PRONUNCIATION, RELATION, SENSE
+from quern.schemas import EXAMPLE, FORM, PRONUNCIATION, RELATION, SENSE, array
 
 #: Caps.
 MAX_FORMS = 48
@@ -78,13 +78,7 @@ def relations(items: Column, relation_type: str, scope: str) -> Column:
         F.lit(relation_type).alias("relation_type"), x["word"].alias("target_word"), x["lang_code"].alias("target_lang_code"),
         no_flags.alias("relation_flags"), F.lit(scope).alias("source_scope"),
     ))
-    return F.coalesce(typed(out, _array(RELATION)), empty(RELATION))
-
-
-def _array(of):
-    from quern.schemas import array
-
-    return array(of)
+    return F.coalesce(typed(out, array(RELATION)), empty(RELATION))
 
 
 def entry_relations(record: Column) -> Column:
@@ -103,7 +97,7 @@ def forms(record: Column) -> Column:
     some = F.transform(F.filter(record["forms"], lambda x: x["form"].isNotNull()), lambda x: F.struct(
         x["form"].alias("form"), F.array_distinct(x["tags"]).alias("tags"), x["roman"].alias("roman"), F.array().cast("array<string>").alias("form_flags")
     ))
-    some = F.coalesce(typed(some, _array(FORM)), empty(FORM))
+    some = F.coalesce(typed(some, array(FORM)), empty(FORM))
     return let(dedupe(some, form_key), lambda xs: F.struct(*[c.alias(n) for c, n in zip(trim(xs, MAX_FORMS, "trimmed_form_set", "form_flags"), ("items", "flags"), strict=True)]))
 
 
@@ -116,7 +110,7 @@ def pronunciations(record: Column) -> Column:
         F.array_distinct(x["tags"]).alias("tags"),
         F.when(x["audio_url"].isNotNull(), F.array(F.lit("preferred_audio"))).otherwise(F.array().cast("array<string>")).alias("pronunciation_flags"),
     ))
-    some = F.coalesce(typed(some, _array(PRONUNCIATION)), empty(PRONUNCIATION))
+    some = F.coalesce(typed(some, array(PRONUNCIATION)), empty(PRONUNCIATION))
     return let(dedupe(some, pronunciation_key), lambda xs: F.struct(*[c.alias(n) for c, n in zip(trim(xs, MAX_PRONUNCIATIONS, "trimmed_audio_set", "pronunciation_flags"), ("items", "flags"), strict=True)]))
 
 
@@ -127,7 +121,7 @@ def examples(items: Column) -> Column:
         return F.array_compact(F.array(quote, machine))
 
     some = F.transform(F.filter(items, lambda x: x["text"].isNotNull()), lambda x: F.struct(x["text"].alias("text"), x["translation"].alias("translation"), x["type"].alias("type"), x["ref"].alias("ref"), flags(x).alias("example_flags")))
-    return F.coalesce(typed(some, _array(EXAMPLE)), empty(EXAMPLE))
+    return F.coalesce(typed(some, array(EXAMPLE)), empty(EXAMPLE))
 
 
 def sense_flags(tags: Column) -> Column:
@@ -148,7 +142,7 @@ def senses(record: Column) -> Column:
         F.array_distinct(p["s"]["tags"]).alias("tags"), p["s"]["qualifier"].alias("qualifier"), F.array_distinct(p["s"]["topics"]).alias("topics"),
         examples(p["s"]["examples"]).alias("examples"), sense_relations(p["s"]).alias("relations"), sense_flags(p["s"]["tags"]).alias("sense_flags"),
     ))
-    return F.coalesce(typed(some, _array(SENSE)), empty(SENSE))
+    return F.coalesce(typed(some, array(SENSE)), empty(SENSE))
 
 
 def senses_without_gloss(record: Column) -> Column:
