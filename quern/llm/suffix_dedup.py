@@ -1,8 +1,9 @@
 """Suffix-array dedup (operator 1): sparse suffix arrays over words.
 
 Texts that are equal take part once; those of `min_words` words or more are spans as a whole. Suffixes are retained at
-minimisers: of each `window` consecutive runs of `gram` words, where the run with the least hash begins. A passage of `min_words` words that occurs twice has a retained suffix among its first `window` words, at the same
-place in both occurrences, and from there at least stem = min_words - window + 1 words to go. So:
+minimisers: of each `window` consecutive runs of `gram` words, where the run with the least hash begins. A passage of
+`min_words` words that occurs twice has a retained suffix among its first `window` words, at the same place in both
+occurrences, and from there at least stem = min_words - window + 1 words to go. So:
 
 1. suffixes are grouped by the hash of their first `stem` words; those alone in their group go;
 2. of the others, what follows the stem is sorted within the group, as a suffix array would, and what precedes the suffix is
