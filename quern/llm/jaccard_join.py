@@ -165,7 +165,7 @@ def _verified(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[p
         yield full
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, width: int = 5, threshold: float = 0.8, recall: float = 0.995, rows: int = 5,
+def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, width: int = 5, threshold: float = 0.8, recall: float = 0.999, rows: int = 5,
          chunk_shingles: int = 50_000) -> DataFrame:
     """One row per document: id, class_id (least id among all that links connect), copy_id (least id among copies),
     n_copies, and n_links: documents whose similarity to this one is at least `threshold`, copies included."""
