@@ -84,3 +84,18 @@ def test_blocks_need_words_and_neighbours():
     assert common_blocks(a, b, words, 6) == [2, 3]
     assert common_blocks(a, b, words, 5) == [2, 3, 4]
     assert common_blocks(a, b, words, 7) == []
+
+
+def test_frequent_lines_against_all_pairs(spark):
+    """Blocks of frequent lines whose lines are first held by different texts; crossing and repeated ones."""
+    rng = random.Random(2)
+    stock = [f"{k} common line" for k in range(9)]
+    rows = [(k, f"own {k} text\n{stock[k]}\nmore of {k}", "s") for k in range(9)]
+    for k in range(9, 120):
+        block = stock[rng.randint(0, 5) :][: rng.randint(1, 5)]
+        other = [rng.choice(stock) for _ in range(rng.randint(0, 4))]
+        rows.append((k, "\n".join([f"begins {k} here", *block, *[f"between {k}"] * rng.randint(0, 1), *other, f"end {k}"]), "s"))
+    got = line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    want = expected(rows, len(rows), 8)
+    assert sum(r[3] for r in want) > sum(r[3] for r in expected(rows, 4, 8))
+    assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
