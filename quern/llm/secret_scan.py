@@ -1,14 +1,15 @@
 """Secret scans (operator 7): three fixed patterns, and a battery of randomness tests for what they miss.
 
 Base spans (code points, end exclusive; the span is the whole match) are the leftmost, non-overlapping matches by kind.
-Other runs of `[A-Za-z0-9+/_=-]` of at least `least` characters that meet no base span are candidates. The encoding is the
-narrowest alphabet that holds the run's symbols (hex in one case, base 32, base 36 in one case, base 62, base 64); decimal
-runs and runs without a digit in an alphabet that has digits are no candidates. Each candidate takes tests of its symbols:
-chi-squared against a uniform alphabet, number of runs above and below the alphabet's middle, and lag-1 serial correlation.
-It must pass for random in all three. Its p-value is the chance that a run of ordinary text, whose symbols repeat with
-probability `coincidence`, gives so low a chi-squared; that chance falls with length. Among the candidates of all documents
-in the same class of lengths, the Benjamini-Hochberg rule at `rate` on a grid of p-values (tenths of a power of ten) decides
-which are added, as kind "random".
+Other runs of `[A-Za-z0-9+/_=-]` are cut at base spans and at `=` inside (padding stays with the part before it); parts of
+at least `least` characters are candidates. The encoding is the narrowest alphabet that holds the part's symbols (hex in one
+case, base 32, base 36 in one case, base 62, base 64); decimal parts and those that no alphabet holds are no candidates. Each
+candidate takes tests of its symbols: chi-squared against a uniform alphabet, number of runs above and below the alphabet's
+middle, and lag-1 serial correlation. It must pass for random in all three. Its p-value is the chance that ordinary text
+gives so low a chi-squared. Symbols of such text repeat with probability `coincidence`, and more often where the alphabet
+leaves out letters (`repeats_within`), so that the chance falls with length in each encoding. Among the candidates of all
+documents in the same class of lengths, the Benjamini-Hochberg rule at `rate` on a grid of p-values (tenths of a power of
+ten) decides which are added, as kind "random".
 
 Null texts read as empty; empty texts have no spans; rows with null or repeated ids are rows of their own and count in the
 rule as often as they occur. An empty table gives no rows. Other columns are ignored, whatever their names.
@@ -19,6 +20,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,7 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 RUN = r"[A-Za-z0-9+/_=-]"
+PART = re.compile(r"[^=]+(?:=+(?![A-Za-z0-9+/_-]))?")
 KINDS = ("assign", "access", "hex", "random")
 #: Encodings from narrow to wide, by the pattern that the symbols fit; padding is no symbol.
 ALPHABETS = (
@@ -43,6 +46,9 @@ ALPHABETS = (
     ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
     ("base64url", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
 )
+#: Shares of the letters a to z in ordinary text, in thousandths, and of all digits together among letters and digits.
+LETTERS = dict(zip("abcdefghijklmnopqrstuvwxyz", (82, 15, 28, 43, 127, 22, 20, 61, 70, 2, 8, 40, 24, 67, 75, 19, 1, 60, 63, 91, 28, 10, 24, 2, 20, 1), strict=True))
+DIGITS = 0.1
 #: Lengths from which a class begins.
 CLASSES = (20, 28, 40, 64)
 #: p-values below 10**-(STEPS / 10) count as that.
@@ -57,10 +63,10 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def encoding(run: str) -> str | None:
-    """The narrowest alphabet of a run without padding; None where it is no candidate."""
+def encoding(run: str, bare: bool = False) -> str | None:
+    """The narrowest alphabet of a run without padding; None where it has none, is decimal or, unless `bare`, has no digit."""
     held = set(run)
-    if held <= set("0123456789") or not any(c.isdigit() for c in held):
+    if held <= set("0123456789") or not (bare or any(c.isdigit() for c in held)):
         return None
     return next((alphabet for _, alphabet in ALPHABETS if held <= set(alphabet)), None)
 
@@ -94,28 +100,49 @@ def battery(run: str, alphabet: str) -> dict[str, float]:
     return {"chi": chi, "uniform": chi_square_tail(chi, a - 1), "runs": p_runs, "serial": p_serial}
 
 
+@cache
+def repeats_within(alphabet: str, coincidence: float) -> float:
+    """Probability that two symbols of ordinary text are equal when only those of `alphabet` are looked at: `coincidence`
+    where it has all letters."""
+    held = [LETTERS[c] / 1000 for c in set(alphabet.lower()) if c in LETTERS]
+    if len(held) == len(LETTERS):
+        return coincidence
+    digits, each = DIGITS * sum(c.isdigit() for c in alphabet) / 10, DIGITS / 10
+    held = [(1 - DIGITS) * p for p in held]
+    return (sum(p * p for p in held) + digits * each) / (sum(held) + digits) ** 2
+
+
 def text_p(chi: float, n: int, a: int, coincidence: float) -> float:
     """Chance that ordinary text of n symbols has a chi-squared of at most `chi` over an alphabet of a."""
     beyond = n * max(a * coincidence - 1, 0.0)
     return upper_tail(-(chi - (a - 1 + beyond)) / math.sqrt(2 * (a - 1) + 4 * beyond))
 
 
+def parts(start: int, end: int, text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """What base spans and inner `=` leave of the run text[start:end]; padding belongs to the part before it."""
+    free, at = [], start
+    for a, _, b in base:
+        if b > at and a < end:
+            free.append((at, a))
+            at = b
+    for a, b in (*free, (at, end)):
+        for m in PART.finditer(text, a, max(a, b)):
+            yield m.span()
+
+
 def candidates(text: str, base: list[tuple[int, int, int]], find: re.Pattern, coincidence: float, passing: float) -> list[dict]:
-    """Runs that pass for random: start, end, class of length and step of their p-value."""
+    """Parts of runs that pass for random: start, end, class of length and step of their p-value."""
     out = []
-    for m in find.finditer(text):
-        if any(start < m.end() and m.start() < end for start, _, end in base):
-            continue
-        run = m[0].rstrip("=")
-        alphabet = encoding(run)
-        if alphabet is None or len(run) < CLASSES[0]:
+    for start, end in (p for m in find.finditer(text) for p in parts(m.start(), m.end(), text, base)):
+        run = text[start:end].rstrip("=")
+        if len(run) < CLASSES[0] or not find.fullmatch(text, start, end) or (alphabet := encoding(run, bare=True)) is None:
             continue
         got = battery(run, alphabet)
         if min(got["uniform"], got["runs"], got["serial"]) < passing:
             continue
-        p = text_p(got["chi"], len(run), len(alphabet), coincidence)
+        p = text_p(got["chi"], len(run), len(alphabet), repeats_within(alphabet, coincidence))
         step = min(STEPS, int(-10 * math.log10(p))) if p > 0 else STEPS
-        out.append({"start": m.start(), "end": m.end(), "size": sum(len(run) >= c for c in CLASSES), "step": step})
+        out.append({"start": start, "end": end, "size": sum(len(run) >= c for c in CLASSES), "step": step})
     return out
 
 

@@ -95,3 +95,36 @@ def test_rule_against_plain_benjamini_hochberg(spark):
     ranked = sorted((10 ** (-s / 10), s) for s in steps)
     passed = [s for k, (p, s) in enumerate(ranked, 1) if p <= 0.01 * k / len(steps)]
     assert [(r["size"], r["step"]) for r in let] == ([(1, min(passed))] if passed else [])
+
+
+@pytest.mark.parametrize("name,alphabet", secret_scan.ALPHABETS)
+def test_random_runs_of_each_encoding_are_found(spark, name, alphabet):
+    rng = random.Random(8)
+    base = lambda run: bool(base_spans(run))
+    own = [random_run(rng, 64, alphabet) for _ in range(30)]
+    if name == "hex":  # lower-case hex of 24 characters is a base span
+        own = [random_run(rng, 23, alphabet) for _ in range(300)]
+    texts = [(k, f"{words(rng, 20)} {x} {words(rng, 5)}") for k, x in enumerate(own)]
+    got = secret_scan.scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert sum(r["n_random"] for r in got) >= (0.2 if name == "hex" else 0.8) * sum(not base(x) for x in own)
+
+
+def test_power_grows_with_length_in_each_encoding():
+    rng = random.Random(9)
+    for _, alphabet in secret_scan.ALPHABETS:
+        known = secret_scan.repeats_within(alphabet, 0.06)
+        mean = lambda n: sum(text_p(battery(r := random_run(rng, n, alphabet), alphabet)["chi"], n, len(alphabet), known) for _ in range(200)) / 200  # noqa: B023, E731
+        assert mean(20) > mean(40) > mean(64)
+
+
+def test_runs_are_cut_at_names_and_base_spans():
+    rng = random.Random(10)
+    base62 = secret_scan.ALPHABETS[5][1]
+    find = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+    value = random_run(rng, 44, base62)
+    spans = lambda text: [(x["start"], x["end"]) for x in candidates(text, base_spans(text), find, 0.06, 0.001)]
+    for before, after in (("ACCESS_KEY=", ""), ("a=b&sig=", "&x=1"), ("id=7=", "=="), ("x=", "=y"), ("AKIA" + "Q" * 20 + "=", ""), ("0123456789abcdef" * 2 + "/", "")):
+        at = len(before) - (before[-1] == "/")
+        assert spans(before + value + after) == [(at, len(before + value) + 2 * (after == "=="))]
+    letters = "".join(rng.sample(base62[10:], 40))
+    assert spans(f"x {letters} y") == [(2, 42)]
