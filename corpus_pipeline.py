@@ -2,7 +2,7 @@
 DataFrame; all but the last return the columns of documents. Stages are written as Parquet and read again in between.
 
 Null texts pass every filter but are no document to copy from and no copy; empty texts stay; rows with null ids stay unless
-a filter rejects them; rows that repeat are judged alike. Extra columns are kept by the filters. Empty tables give empty
+a filter rejects them; rows that repeat are judged alike, but of near copies that all have null ids one row stays. Extra columns are kept by the filters. Empty tables give empty
 tables."""
 
 from __future__ import annotations
@@ -27,8 +27,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the least id stays."""
-    return jaccard_join.kept(docs, jaccard_join.join(docs))
+    """Of each group of near duplicates the document with the least id stays, by row: ids may be null or repeat."""
+    return jaccard_join.kept(docs, jaccard_join.join(docs, keyed=True))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm.components import components
@@ -27,12 +27,16 @@ from quern.llm.shingles import MinHash, WordHashes, bands_for, shingle_set
 from quern.session import written
 
 
+def text_key(text: Column) -> Column:
+    return F.unhex(F.md5(text))
+
+
 def class_key(shingles: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None
 
 
 def _signed(batches: Iterator[pa.RecordBatch], width: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
-    """id, class key, number of shingles and band keys of each text."""
+    """The columns given but the text, class key, number of shingles and band keys of each text."""
     hashes, signer = WordHashes(), MinHash(bands, rows)
     for batch in batches:
         keys, sizes, signed = [], [], []
@@ -41,7 +45,8 @@ def _signed(batches: Iterator[pa.RecordBatch], width: int, bands: int, rows: int
             keys.append(class_key(found))
             sizes.append(len(found))
             signed.append(signer.keys(found) if len(found) else None)
-        yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "ckey": pa.array(keys, pa.binary()), "n": pa.array(sizes, pa.int32()), "bands": pa.array(signed, pa.list_(pa.int64()))})
+        own = {c: batch.column(c) for c in batch.schema.names if c != "text"}
+        yield pa.RecordBatch.from_pydict(own | {"ckey": pa.array(keys, pa.binary()), "n": pa.array(sizes, pa.int32()), "bands": pa.array(signed, pa.list_(pa.int64()))})
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -166,12 +171,14 @@ def _verified(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[p
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, width: int = 5, threshold: float = 0.8, recall: float = 0.999, rows: int = 5,
-         chunk_shingles: int = 50_000) -> DataFrame:
+         chunk_shingles: int = 50_000, keyed: bool = False) -> DataFrame:
     """One row per document: id, class_id (least id among all that links connect), copy_id (least id among copies),
-    n_copies, and n_links: documents whose similarity to this one is at least `threshold`, copies included."""
+    n_copies, and n_links: documents whose similarity to this one is at least `threshold`, copies included. With `keyed`
+    also tkey (hash of the text) and root (key of all that links connect; null without shingles)."""
     bands = bands_for(threshold, recall, rows)
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
-    schema = texts.select("id", F.lit(None).cast("binary").alias("ckey"), F.lit(0).alias("n"), F.lit(None).cast("array<long>").alias("bands")).schema
+    texts = texts.withColumn("tkey", text_key(F.col("text"))) if keyed else texts
+    schema = texts.select("id", *(["tkey"] if keyed else []), F.lit(None).cast("binary").alias("ckey"), F.lit(0).alias("n"), F.lit(None).cast("array<long>").alias("bands")).schema
     signed = written(texts.mapInArrow(lambda b: _signed(b, width, bands, rows), schema), "signed")
     classes = signed.filter("ckey IS NOT NULL").groupBy("ckey").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("size"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     classes = written(classes, "classes")
@@ -198,8 +205,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, wid
     known = classes.select("ckey", "rep", "size").join(counts, "ckey", "left").join(roots.withColumnRenamed("node", "ckey"), "ckey", "left")
     known = known.withColumn("root", F.coalesce("root", "ckey"))
     least = known.groupBy("root").agg(F.min("rep").alias("class_id"))
-    known = known.join(least, "root").select("ckey", "class_id", F.col("rep").alias("copy_id"), "size", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"))
-    out = signed.select("id", "ckey").join(known, "ckey", "left")
+    known = known.join(least, "root").select("ckey", "root", "class_id", F.col("rep").alias("copy_id"), "size", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"))
+    out = signed.select("id", "ckey", *(["tkey"] if keyed else [])).join(known, "ckey", "left")
     alone = F.col("ckey").isNull()
     return out.select(
         F.col("id").alias(id_col),
@@ -207,11 +214,28 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, wid
         F.when(alone, F.col("id")).otherwise(F.col("copy_id")).alias("copy_id"),
         F.coalesce("size", F.lit(1)).cast("long").alias("n_copies"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        *(["tkey", "root"] if keyed else []),
     )
 
 
-def kept(docs: DataFrame, joined: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of `docs` that stay when one document of each class does: those whose id is the class id, and those
-    with a null id that no other document is like. All columns of `docs` stay."""
-    gone = joined.filter(~F.col(id_col).eqNullSafe(F.col("class_id"))).select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["__gone"]), "left_anti")
+def kept(docs: DataFrame, joined: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs` that stay when one document of each class does: the one of least id (nulls last), then least
+    hash of the text. Rows that repeat it in id and text stay with it; without an id, one such row does. Rows in no class
+    (null texts and those without words) stay. All columns of `docs` stay. `joined` is join() of `docs`, keyed; where it
+    isn't, the join is made anew, as ids don't say which row is meant."""
+    if "root" not in joined.columns:
+        joined = join(docs, id_col, text_col, keyed=True)
+    order = F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), "tkey")
+    classed = written(joined.filter("root IS NOT NULL").select("root", order.alias("row")), "classed")
+    sizes = classed.groupBy("root").agg(F.min("row").alias("stays"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    sizes = written(sizes, "sizes")
+    gone = classed.join(sizes, "root").filter("row != stays").select(F.col("row.id").alias("__id"), F.col("row.tkey").alias("__tkey")).distinct()
+    key = text_key(docs[text_col].cast("string"))
+    left = docs.join(gone, docs[id_col].eqNullSafe(gone["__id"]) & (key == gone["__tkey"]), "left_anti")
+    # what stays of a class without an id, once
+    named = left.withColumn("__key", text_key(left[text_col].cast("string")))
+    twice = sizes.filter("stays.last").select(F.col("stays.tkey").alias("__twice"))
+    mine = named.join(twice, named[id_col].isNull() & (F.col("__key") == F.col("__twice")), "left")
+    rest = mine.filter("__twice IS NULL").select(*docs.columns)
+    once = mine.filter("__twice IS NOT NULL").groupBy("__key").agg(F.first(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return rest.unionByName(once)

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 
 from quern.llm import jaccard_join
@@ -92,3 +94,19 @@ def test_components_of_paths_and_stars(spark):
     got = dict(components(spark.createDataFrame([*path, *star, (7, 7)], "a long, b long")).collect())
     assert got == {**{i: 0 for i in range(1, 61)}, **{100 + i: 100 for i in range(1, 50)}}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_rows_stay_by_class_and_not_by_id(spark):
+    from .conftest import words
+
+    rng = random.Random(11)
+    a, b, c, d, e = (words(rng, 60) for _ in range(5))
+    near = lambda t: t + " more"
+    rows = [(1, a), (None, near(a)), (None, b), (None, None), (None, ""), (2, c), (7, near(c)), (7, d), (None, e), (None, near(e)), (None, e), (9, words(rng, 40))]
+    rows.append(rows[-1])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for joined in (jaccard_join.join(docs), jaccard_join.join(docs, keyed=True)):
+        got = [tuple(r) for r in jaccard_join.kept(docs, joined).collect()]
+        of_e = [r for r in got if r[1] in (e, near(e))]
+        want = [(1, a), (None, b), (None, None), (None, ""), (2, c), (7, d), rows[-1], rows[-1]]
+        assert len(of_e) == 1 and sorted(map(str, got)) == sorted(map(str, [*want, *of_e]))
