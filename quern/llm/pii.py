@@ -9,6 +9,11 @@ different ones stay different. Where a shape has values that aren't valid, the n
 walking). Check digits are computed anew. A date's format, a number's punctuation and the + country code stay; the same digits get the
 same pseudonym whatever their punctuation.
 
+Where a card number or IBAN as long as it can be read isn't valid, parts of it that separators bound are tried: for cards
+of 13 to 19 digits, usual groupings first, then by start, longest first; for IBANs of the country's length. The search goes
+on from the next separator. A pseudonym is chosen so that what was tried in vain before it stays invalid, and `back` reads
+the same part; this doesn't hold where two card numbers of under 16 digits follow each other after one space.
+
 Null texts stay null and have no values; empty texts stay empty; rows with null or repeated ids are rows of their own; an
 empty table gives no rows. Other columns are ignored, whatever their names.
 """
@@ -17,7 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from datetime import date, timedelta
 
 import pyarrow as pa
@@ -37,6 +42,13 @@ PATTERNS = (
     ("card", re.compile(r"(?<![\d-])\d(?:[\x20-]?\d){12,18}(?![\d-]*\d)", re.ASCII)),
 )
 KINDS = tuple(kind for kind, _ in PATTERNS)
+#: Digits by group that card numbers are usually written in.
+GROUPINGS = ((4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3))
+IBAN_LENGTHS = {country: int(n) for n, countries in (
+    ("15", "NO"), ("16", "BE"), ("18", "DK FI FO GL NL"), ("19", "MK SI"), ("20", "AT BA EE KZ LT LU XK"), ("21", "CH HR LI LV"), ("22", "BG BH CR DE GB GE IE ME RS VA"),
+    ("23", "AE GI IL IQ OM SO TL"), ("24", "AD CZ ES MD PK RO SA SE SK TN VG"), ("25", "LY PT ST"), ("26", "IS TR"), ("27", "BI DJ FR GR IT MC MR SM"), ("28", "AL AZ BY CY DO GT HN HU LB NI PL SV"),
+    ("29", "BR EG PS QA UA"), ("30", "JO KW MU YE"), ("31", "MT SC"), ("32", "LC"), ("33", "RU"),
+) for country in countries.split()}
 #: A text without any of these holds no value.
 HINT = re.compile(r"\d[\d()./ +-]{6}|@|[A-Z]{2}\d{2}", re.ASCII)
 
@@ -93,6 +105,35 @@ def mod97(iban: str) -> int:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
 
 
+def card_valid(value: str) -> bool:
+    digits = [int(c) for c in value if _ascii_digit(c)]
+    return 13 <= len(digits) <= 19 and luhn(digits) and any(digits)
+
+
+def iban_valid(value: str) -> bool:
+    plain = value.replace(" ", "")
+    return 15 <= len(plain) <= 34 and mod97(plain) == 1
+
+
+def card_parts(value: str) -> list[tuple[int, int]]:
+    """(start, end) of what may be a card number in a match, itself first."""
+    groups = [m.span() for m in re.finditer(r"\d+", value, re.ASCII)]
+    sizes = [b - a for a, b in groups]
+    found = [(i, j) for i in range(len(groups)) for j in range(len(groups), i, -1) if 13 <= sum(sizes[i:j]) <= 19 and j - i < len(groups)]
+    usual = lambda p: tuple(sizes[p[0] : p[1]]) not in GROUPINGS
+    return [(0, len(value)), *((groups[i][0], groups[j - 1][1]) for i, j in sorted(found, key=usual))]
+
+
+def iban_parts(value: str) -> list[tuple[int, int]]:
+    """A match itself, then its beginning of the country's length if a separator ends it there."""
+    ends = [m.start() for m in re.finditer(" ", value)]
+    return [(0, len(value)), *((0, e) for e in ends if e - value[:e].count(" ") == IBAN_LENGTHS.get(value[:2]))]
+
+
+#: Kinds whose matches are tried in parts: the parts, and whether one is valid.
+IN_PARTS = {"card": (card_parts, card_valid), "iban": (iban_parts, iban_valid)}
+
+
 def ssn_valid(d: list[int]) -> bool:
     area = d[0] * 100 + d[1] * 10 + d[2]
     return 0 < area < 900 and area != 666 and any(d[3:5]) and any(d[5:])
@@ -121,22 +162,25 @@ class Pseudonyms:
             if valid(symbols):
                 return symbols
 
-    def card(self, value: str) -> str | None:
+    def card(self, value: str, others: Callable[[str], bool] = lambda new: True) -> str | None:
         digits = [int(c) for c in value if _ascii_digit(c)]
-        if not 13 <= len(digits) <= 19 or not luhn(digits) or not any(digits):
+        if not card_valid(value):
             return None
-        body = self._turn("card", digits[:-1], [10] * (len(digits) - 1), any)
-        return _put(value, iter("".join(map(str, [*body, luhn_digit(body)]))), _ascii_digit)
+        shown = lambda body: _put(value, iter("".join(map(str, [*body, luhn_digit(body)]))), _ascii_digit)
+        return shown(self._turn("card", digits[:-1], [10] * (len(digits) - 1), lambda body: any(body) and others(shown(body))))
 
-    def iban(self, value: str) -> str | None:
+    def iban(self, value: str, others: Callable[[str], bool] = lambda new: True) -> str | None:
         plain = value.replace(" ", "")
-        if not 15 <= len(plain) <= 34 or mod97(plain) != 1:
+        if not iban_valid(value):
             return None
         own = plain[4:]
-        symbols = self._turn("iban", [int(c) if c.isdigit() else ord(c) - 65 for c in own], [10 if c.isdigit() else 26 for c in own])
-        new = "".join(str(s) if c.isdigit() else chr(65 + s) for s, c in zip(symbols, own, strict=True))
-        check = f"{98 - mod97(plain[:2] + '00' + new):02d}"
-        return _put(value, iter(plain[:2] + check + new), lambda c: c != " ")
+
+        def shown(symbols: list[int]) -> str:
+            new = "".join(str(s) if c.isdigit() else chr(65 + s) for s, c in zip(symbols, own, strict=True))
+            check = f"{98 - mod97(plain[:2] + '00' + new):02d}"
+            return _put(value, iter(plain[:2] + check + new), lambda c: c != " ")
+
+        return shown(self._turn("iban", [int(c) if c.isdigit() else ord(c) - 65 for c in own], [10 if c.isdigit() else 26 for c in own], lambda s: others(shown(s))))
 
     def ip(self, value: str) -> str | None:
         octets = value.split(".")
@@ -201,12 +245,32 @@ class Pseudonyms:
             out[i] = chr(ord(zero[i]) + s)
         return "".join(out) + "@" + domain
 
+    def _in_parts(self, kind: str, pattern: re.Pattern, text: str, taken: list[tuple[int, int, str, str]]) -> Iterator[tuple[int, int, str, str]]:
+        parts, valid = IN_PARTS[kind]
+        at, old = 0, list(taken)
+        while m := pattern.search(text, at):
+            value, start = m[0], m.start()
+            tried: list[tuple[int, int]] = []
+            at = start + next((i for i, c in enumerate(value) if c in " -"), len(value))
+            for a, b in parts(value):
+                if any(x < start + b and start + a < y for x, y, _, _ in old):
+                    continue
+                if valid(value[a:b]):
+                    others = lambda new, a=a, b=b: not any(valid((value[:a] + new + value[b:])[c:d]) for c, d in tried)  # noqa: B023, E731
+                    yield start + a, start + b, kind, getattr(self, kind)(value[a:b], others)
+                    at = start + b
+                    break
+                tried.append((a, b))
+
     def text(self, text: str) -> tuple[str, dict[str, int], list[tuple[str, int, int]]]:
         """The text with pseudonyms, how many by kind, and (kind, start, end) of each in the text given."""
         taken: list[tuple[int, int, str, str]] = []
         if HINT.search(text):
             for kind, pattern in PATTERNS:
                 turn = getattr(self, kind)
+                if kind in IN_PARTS:
+                    taken += self._in_parts(kind, pattern, text, taken)
+                    continue
                 for m in pattern.finditer(text):
                     if not any(a < m.end() and m.start() < b for a, b, _, _ in taken) and (new := turn(m[0])) is not None:
                         taken.append((m.start(), m.end(), kind, new))

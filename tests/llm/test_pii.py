@@ -96,3 +96,22 @@ def test_texts_without_values_are_untouched():
 def test_long_runs_take_linear_time():
     for t in ("a" * 300_000, "1" * 300_000, "1-" * 100_000, "A1" * 100_000, "1." * 100_000, "a." * 100_000 + "@", "+1 " * 60_000):
         Pseudonyms(b"k").text(t)
+
+
+@pytest.mark.parametrize("before,value,after,kind", [
+    ("", "4111 1111 1111 1111", " 12/27", "card"), ("", "4111 1111 1111 1111", " 123", "card"), ("43 ", "4111 1111 1111 1111", "", "card"), ("7 ", "4845168114407329", " 09", "card"),
+    ("", "3782 822463 10005", " 1234", "card"), ("12-", "4111-1111-1111-1111", "", "card"), ("", "BE68 5390 0754 7034", " EUR", "iban"), ("AB13 ", "BE68 5390 0754 7034", "", "iban"), ("", "GB82 WEST 1234 5698 7654 32", " ABC", "iban"),
+])
+def test_values_beside_others(before, value, after, kind):
+    for key in (b"k", b"l", *(bytes([k]) for k in range(1, 40))):
+        text = f"x {before}{value}{after}, y"
+        new, counts, spans = Pseudonyms(key).text(text)
+        at = 2 + len(before)
+        assert spans == [(kind, at, at + len(value))] and counts[kind] == 1
+        assert new[:at] == text[:at] and new[at + len(value) :] == text[at + len(value) :] and new != text
+        assert Pseudonyms(key, back=True).text(new)[0] == text
+
+
+def test_many_digits_take_linear_time():
+    for t in ("1 " * 100_000, "4111 " * 40_000, "BE68 5390 0754 7034 EUR " * 8_000):
+        Pseudonyms(b"k").text(t)
