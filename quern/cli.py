@@ -29,6 +29,8 @@ def parser() -> argparse.ArgumentParser:
             command.add_argument(argument)
         if name == "assemble-entries":
             command.add_argument("--lang", action="append")
+        if name == "audit-definitions":
+            command.add_argument("--prompt-version-like", default="%")
     return p
 
 
@@ -46,7 +48,7 @@ def main(argv: list[str] | None = None) -> int:
             "ingest-snapshot": lambda: stages.ingest(registry, a.path),
             "assemble-entries": lambda: stages.assemble(registry, languages=a.lang),
             "generate-definitions": lambda: stages.generate_definitions(registry, bundle),
-            "audit-definitions": lambda: {k: [r.asDict() for r in v.limit(100).collect()] for k, v in stages.audit_definitions(registry).items()},
+            "audit-definitions": lambda: {k: {"count": v.count(), "shown": [r.asDict() for r in v.limit(100).collect()]} for k, v in stages.audit_definitions(registry, version_like=a.prompt_version_like).items()},
             "review-definitions": lambda: stages.review(registry),
             "export-audit": lambda: stages.export_audit(registry, a.path),
             "export-distribution": lambda: stages.export_distribution(registry, [bundle], a.path),

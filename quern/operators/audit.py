@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from quern.functions.canonical import with_canonical
 from quern.operators import sampling
 from quern.operators.latest import latest_enrichments, pending
 from quern.schemas import RESPONSE
+from quern.session import written
 
 # Fixed values.
 HEURISTICS_VERSION = "definitions_audit_v1"
@@ -29,6 +32,32 @@ def bucket_health(log: DataFrame, size: int = 1000) -> DataFrame:
     )
 
 
+def numbered(log: DataFrame) -> DataFrame:
+    """`log` with `sequence`: 0, 1, ... from oldest to newest, counted by split of the sorted rows."""
+    row = F.monotonically_increasing_id()
+    rows = written(log.orderBy("created_at", "enrichment_id").withColumn("__row", row), "numbered")
+    split = F.shiftright("__row", 33)
+    sizes = sorted((r[0], r[1]) for r in rows.groupBy(split.alias("split")).count().collect())  # a row for each split
+    before = dict(zip((k for k, _ in sizes), accumulate((n for _, n in sizes), initial=0), strict=False))
+    first = F.element_at(F.create_map(*[F.lit(x).cast("long") for kv in before.items() for x in kv]), split) if before else F.lit(0)
+    return rows.withColumn("sequence", first + F.col("__row").bitwiseAND((1 << 33) - 1)).drop("__row")
+
+
+def log_health(log: DataFrame, size: int = 1000) -> DataFrame:
+    """By thousands (or `size`) of the enrichment log from oldest to newest: succeeded, failed, retries, use of the compact
+    prompt and of shards, mean tokens."""
+    said = lambda p: F.get_json_object("generation_metadata", p)
+    return numbered(log).groupBy(F.expr(f"sequence div {size}").alias("bucket")).agg(
+        F.count_if(F.col("status") == "succeeded").alias("succeeded"), F.count_if(F.col("status") == "failed").alias("failed"), F.coalesce(F.sum("retries"), F.lit(0)).alias("retries"),
+        F.count_if(said("$.used_compact_retry_prompt") == "true").alias("compact_used"), F.count_if(said("$.sharded") == "true").alias("sharded"),
+        *[F.round(F.avg(F.coalesce(said(f"$.usage.{k}_tokens"), said(f"$.{k}_tokens")).cast("int")), 1).alias(f"avg_{k}_tokens") for k in ("prompt", "completion")],
+    ).orderBy("bucket")
+
+
+def log_totals(buckets: DataFrame) -> DataFrame:
+    return buckets.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("succeeded", "failed", "retries", "compact_used")])
+
+
 def totals(buckets: DataFrame) -> DataFrame:
     return buckets.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "failed", "retries", "sharded")])
 
@@ -73,8 +102,8 @@ def finding_counts(found: DataFrame) -> DataFrame:
     return found.groupBy("check").agg(F.count(F.lit(1)).alias("n"))
 
 
-def recent_failures(log: DataFrame, n: int = 10) -> DataFrame:
-    return log.filter("status = 'failed'").orderBy(F.desc("enrichment_id")).select("enrichment_id", "entry_id", F.left("error", F.lit(200)).alias("error")).limit(n)
+def recent_failures(log: DataFrame, n: int = 10, by: tuple[str, ...] = ("enrichment_id",)) -> DataFrame:
+    return log.filter("status = 'failed'").orderBy(*[F.desc(c) for c in by]).select("enrichment_id", "entry_id", F.left("error", F.lit(200)).alias("error")).limit(n)
 
 
 def review_population(entries: DataFrame, log: DataFrame, version_like: str | None = None) -> DataFrame:

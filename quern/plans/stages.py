@@ -166,11 +166,13 @@ def review(registry: Registry, run_id: str, generator: generate.Generator = gene
     return {"reviews": reviews.read().filter(F.col("run_id") == run_id).count()}
 
 
-def audit_definitions(registry: Registry, sample: int | None = None) -> dict[str, DataFrame]:
-    """Read-only reports: findings, their counts and the newest failures."""
-    log = registry.table("enrichments").read()
+def audit_definitions(registry: Registry, sample: int | None = None, *, version_like: str = "%", bucket_size: int = 1000) -> dict[str, DataFrame]:
+    """Read-only reports over prompt versions like `version_like`: buckets of the log and their totals over every row,
+    findings, their counts and the newest failures."""
+    log = registry.table("enrichments").read().filter(F.col("prompt_version").like(version_like))
     found = audit.audited(log, sample)
-    return {"findings": found, "finding_counts": audit.finding_counts(found), "failures": audit.recent_failures(log)}
+    buckets = audit.log_health(log, bucket_size)
+    return {"buckets": buckets, "totals": audit.log_totals(buckets), "findings": found, "finding_counts": audit.finding_counts(found), "failures": audit.recent_failures(log, by=("created_at", "enrichment_id"))}
 
 
 @tracked("workflow.run")

@@ -214,3 +214,16 @@ def test_picks(spark):
     df = spark.createDataFrame([(0, p), (1, p[:2]), (2, []), (3, p[1:2])], "k int, p array<struct<ipa:string,pronunciation_text:string,tags:array<string>>>")
     got = {r["k"]: [(x["ipa"], x["text"], x["tags"]) for x in r["q"]] for r in df.select("k", export.picked_pronunciations(F.col("p")).alias("q")).collect()}
     assert got == {0: [("/us/", None, ["US"]), ("/uk/", None, ["UK"])], 1: [("/a/", None, [])], 2: [], 3: [(None, "t", [])]}
+
+
+def test_log_health_and_newest_failures(spark):
+    from quern.operators import audit
+
+    meta = '{"sharded": true, "used_compact_retry_prompt": true, "usage": {"prompt_tokens": 10, "completion_tokens": 4}}'
+    rows = [(f"{(7 * k) % 25:02d}", f"e{k}", "failed" if k % 2 else "succeeded", 1, meta if k < 10 else "{}", "bad", k) for k in range(25)]
+    log = spark.createDataFrame(rows, "enrichment_id string, entry_id string, status string, retries int, generation_metadata string, error string, at int")
+    log = log.selectExpr("*", "timestamp_seconds(at) AS created_at").repartition(4)
+    got = audit.log_health(log, 10)
+    assert [tuple(r) for r in got.collect()] == [(0, 5, 5, 10, 10, 10, 10.0, 4.0), (1, 5, 5, 10, 0, 0, None, None), (2, 3, 2, 5, 0, 0, None, None)]
+    assert tuple(audit.log_totals(got).first()) == (13, 12, 25, 10)
+    assert [r["entry_id"] for r in audit.recent_failures(log, by=("created_at", "enrichment_id")).collect()] == [f"e{k}" for k in range(23, 4, -2)]

@@ -214,3 +214,12 @@ def test_fixture_builder(spark, tmp_path):
     path.write_text("{bad\n")
     with pytest.raises(ValueError, match="d.jsonl:1"):
         fixture.build(spark, str(path))
+
+
+def test_audit_reports_every_row_by_prompt_version(built):
+    registry, _, _, _ = built
+    n = registry.table("enrichments").read().count()
+    reports = stages.audit_definitions(registry, bucket_size=2)
+    assert sum(sum(r[k] for k in ("succeeded", "failed")) for r in reports["buckets"].collect()) == n
+    assert stages.audit_definitions(registry, version_like="none%")["totals"].first()["succeeded"] == 0
+    assert all(r["avg_prompt_tokens"] > 0 for r in reports["buckets"].collect() if r["succeeded"])
