@@ -142,6 +142,17 @@ def op1_suffix_dedup(spark, sf_dir):
     return suffix_dedup.repeats(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op1_suffix_dedup"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '\S+') AS w FROM documents),
+p AS (SELECT r, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50),
+g AS (SELECT p.r, p.i, md5(array_to_string(d.w[p.i:p.i + 49], ' ')) AS h FROM p JOIN d USING (r)),
+k AS (SELECT r, i FROM g SEMI JOIN (SELECT h FROM g GROUP BY 1 HAVING count(*) > 1) USING (h)),
+b AS (SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 50 THEN 0 ELSE 1 END AS fresh FROM k),
+s AS (SELECT r, i, sum(fresh) OVER (PARTITION BY r ORDER BY i) AS span FROM b)
+SELECT doc_id, CAST(min(i) - 1 AS INTEGER) AS start_word, CAST(max(i) + 49 AS INTEGER) AS end_word, CAST(max(i) - min(i) + 50 AS INTEGER) AS n_words FROM s JOIN d USING (r) GROUP BY doc_id, r, span
+"""
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -7,13 +7,15 @@ occurrences, and from there at least stem = min_words - window + 1 words to go.
 
 1. suffixes are grouped by the hash of their first `stem` words; those alone in their group go;
 2. of the others, what follows the stem is sorted within the group, as a suffix array would, and what precedes the suffix is
-   sorted read backwards; with each neighbour the common length is taken, `window` words at most. The longest common
-   extension with any member of the group is one with a neighbour, so this is exact. Neighbours are compared as sorted rows
-   stream by, so a group may have any size;
-3. stems with their extensions are joined to spans; spans of `min_words` words or more are reported.
+   sorted read backwards; with each neighbour the common length is taken, 2 * window words at most. The longest common
+   extension with any member of the group is one with a neighbour, so this is exact. Rows are dealt by ranges of the sorted
+   order, ties by text, so a group may have any size; the first and last row of each range are compared afterwards;
+3. a stem extended to one side has one partner, so one of `min_words` words or more is a repeat. What extensions to both
+   sides reach together may have two partners: there each passage of `min_words` words about the stem, in all texts that
+   have the stem, is hashed and stays if its hash occurs twice.
 
-Hence every passage of `min_words` words that occurs at least twice, in one document or in several, lies within a span, and
-every word of a span lies in a passage of at least `stem` words that occurs twice. Words are runs of non-space as they stand.
+Hence a word is in a span if and only if it lies in a passage of `min_words` words that occurs at least twice, in one document
+or in several; passages that touch are one span. Words are runs of non-space as they stand.
 
 Null and empty texts and texts of fewer than `min_words` words have no spans. Rows with null or repeated ids are occurrences
 of their own; a row that occurs twice is a repeat as a whole. An empty table gives no rows. Other columns are ignored,
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm.shingles import WordHashes, mixed, runs
-from quern.session import written
+from quern.session import dropped, written
 
 _BASES = (0x2545F4914F6CDD1D, 0x9E3779B97F4A7C15)
 
@@ -93,14 +95,15 @@ def _stems(batches: Iterator[pa.RecordBatch], gram: int, window: int, stem: int)
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(ra), pa.array(np.concatenate(many))], names=["key", "ra", "many"])
 
 
-_SENT = {"side": pa.int8(), "key": pa.int64(), "context": pa.binary(), "size": pa.int8(), "ra": pa.int64(), "rb": pa.int64(), "start": pa.int32(), "end": pa.int32()}
+_SENT = {"key": pa.int64(), "left": pa.binary(), "lsize": pa.int8(), "right": pa.binary(), "rsize": pa.int8(), "ra": pa.int64(), "rb": pa.int64(), "start": pa.int32(), "end": pa.int32()}
 
 
 def _contexts(batches: Iterator[pa.RecordBatch], gram: int, window: int, stem: int, min_words: int) -> Iterator[pa.RecordBatch]:
-    """For each suffix that isn't alone: 32 bits of each of the words before its stem, backwards (side 0), and of those after
-    it (side 1); start and end are its stem's. A text that repeats a context has a neighbour in itself for the whole of it:
-    the context goes once, and what that covers goes as a span (side 2), as does all of a text that has copies."""
+    """For each suffix that isn't alone: 32 bits of each of the words before its stem, backwards, and of those after it; start
+    and end are its stem's. What a text has twice with both contexts goes once, and what that covers goes as a span (without
+    a key), as does all of a text that has copies."""
     words, first_key, second_key = WordHashes(), Runs(_BASES[0]), Runs(_BASES[1])
+    reach = 2 * window
     for batch in batches:
         held: list[pa.RecordBatch] = []
         n_held = 0
@@ -113,27 +116,31 @@ def _contexts(batches: Iterator[pa.RecordBatch], gram: int, window: int, stem: i
             at = _anchors(hashes, gram, window, stem)
             keys = np.array(wanted.as_py() or [], np.int64)
             at = at[np.isin(first_key(hashes, at, stem).view(np.int64), keys)]
-            short = np.concatenate((np.zeros(window, np.uint32), (hashes >> np.uint64(32)).astype(np.uint32), np.zeros(window, np.uint32)))
+            short = np.concatenate((np.zeros(reach, np.uint32), (hashes >> np.uint64(32)).astype(np.uint32), np.zeros(reach, np.uint32)))
             key = second_key(hashes, at, stem).view(np.int64)
-            parts: dict[str, list] = {k: [] for k in _SENT}
-            for side, shift, size in ((0, window - 1 - np.arange(window), np.minimum(at, window)), (1, window + stem + np.arange(window), np.minimum(n - at - stem, window))):
-                context = np.ascontiguousarray(short[at[:, None] + shift[None, :]])
-                whole = np.concatenate((key.view(np.uint32).reshape(-1, 2), context, size[:, None].astype(np.uint32)), axis=1)
-                _, once, group, times = np.unique(whole, axis=0, return_index=True, return_inverse=True, return_counts=True)
-                again = times[group.reshape(-1)] > 1
-                spans += [(p - s, p + stem) if side == 0 else (p, p + stem + s) for p, s in zip(at[again].tolist(), size[again].tolist(), strict=True)]
-                data = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * window), len(once), [None, pa.py_buffer(context[once].tobytes())]).cast(pa.binary())
-                for name, value in (("side", np.full(len(once), side)), ("key", key[once]), ("context", data), ("size", size[once]), ("ra", np.full(len(once), ra)), ("rb", np.full(len(once), rb)), ("start", at[once]), ("end", at[once] + stem)):
-                    parts[name].append(value)
-            spans = joined(spans)
-            for name, value in (("side", 2), ("key", ra), ("context", None), ("size", 0), ("ra", ra), ("rb", rb)):
-                parts[name].append(pa.array([value] * len(spans), _SENT[name]) if name == "context" else np.full(len(spans), value, np.int64))
-            parts["start"].append(np.array([a for a, _ in spans], np.int64))
-            parts["end"].append(np.array([b for _, b in spans], np.int64))
-            arrays = [pa.concat_arrays([pa.array(v, t) if isinstance(v, np.ndarray) else v for v in parts[name]]) for name, t in _SENT.items()]
+            left = np.ascontiguousarray(short[at[:, None] + (reach - 1 - np.arange(reach))[None, :]])
+            right = np.ascontiguousarray(short[at[:, None] + (reach + stem + np.arange(reach))[None, :]])
+            lsize, rsize = np.minimum(at, reach), np.minimum(n - at - stem, reach)
+            whole = np.concatenate((key.view(np.uint32).reshape(-1, 2), left, right, lsize[:, None].astype(np.uint32), rsize[:, None].astype(np.uint32)), axis=1)
+            _, once, group, times = np.unique(whole, axis=0, return_index=True, return_inverse=True, return_counts=True)
+            again = times[group.reshape(-1)] > 1
+            spans += zip((at - lsize)[again].tolist(), (at + stem + rsize)[again].tolist(), strict=True)
+            spans = joined([(a, b) for a, b in spans if b - a >= min_words])
+            m, k = len(once), len(spans)
+
+            def column(t: pa.DataType, values, blank=None) -> pa.Array:  # of the suffixes, then of the spans
+                return pa.concat_arrays([pa.array(values, t) if isinstance(values, np.ndarray) else values, pa.array([blank] * k, t) if not isinstance(blank, list) else pa.array(blank, t)])
+
+            def packed(context: np.ndarray, m=m, once=once) -> pa.Array:
+                return pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * reach), m, [None, pa.py_buffer(context[once].tobytes())]).cast(pa.binary())
+
+            arrays = [
+                column(pa.int64(), key[once]), column(pa.binary(), packed(left)), column(pa.int8(), lsize[once]), column(pa.binary(), packed(right)), column(pa.int8(), rsize[once]),
+                column(pa.int64(), np.full(m, ra), ra), column(pa.int64(), np.full(m, rb), rb), column(pa.int32(), at[once], [a for a, _ in spans]), column(pa.int32(), at[once] + stem, [b for _, b in spans]),
+            ]
             held.append(pa.RecordBatch.from_arrays(arrays, names=list(_SENT)))
             n_held += held[-1].num_rows
-            if n_held > 50_000:
+            if n_held > 25_000:
                 yield pa.Table.from_batches(held).combine_chunks().to_batches(max_chunksize=n_held)[0]
                 held, n_held = [], 0
         if n_held:
@@ -151,28 +158,38 @@ def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (side, key, context): the stem with the longest common length with a neighbour of the same key.
-    Spans (side 2) pass. The last row of a batch waits for the next."""
+_MET = "side byte, key long, context binary, size byte, ra long, rb long, start int, best int"
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch], reach: int, borders: bool) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by (side, key, context): each suffix with its longest common length with a neighbour of the same key. The
+    last row of a batch waits for the next. With `borders` the first and the last row of all follow, with their contexts."""
+    names = ("side", "key", "size", "ra", "rb", "start")
     wait: dict[str, np.ndarray] | None = None
-    open_best = 0
+    first: dict[str, np.ndarray] | None = None
+    open_best, n_rows = 0, 0
 
-    def emit(rows: dict[str, np.ndarray], best: np.ndarray) -> pa.RecordBatch:
-        start, end = rows["start"] - np.where(rows["side"] == 0, best, 0), rows["end"] + np.where(rows["side"] == 1, best, 0)
-        return pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in ((rows["ra"], np.int64), (rows["rb"], np.int64), (start, np.int32), (end, np.int32))], names=["ra", "rb", "start", "end"])
+    def emit(rows: dict[str, np.ndarray], best: np.ndarray | None) -> pa.RecordBatch:
+        n = len(rows["ra"])
+        context = pa.nulls(n, pa.binary()) if best is not None else pa.array([c.tobytes() for c in rows["context"]], pa.binary())
+        best = pa.nulls(n, pa.int32()) if best is None else pa.array(best.astype(np.int32))
+        kinds = (np.int8, np.int64, np.int8, np.int64, np.int64, np.int32)
+        side, key, size, ra, rb, start = (pa.array(rows[k].astype(t)) for k, t in zip(names, kinds, strict=True))
+        return pa.RecordBatch.from_arrays([side, key, context, size, ra, rb, start, best], names=["side", "key", "context", "size", "ra", "rb", "start", "best"])
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        now = {k: batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in ("side", "key", "size", "ra", "rb", "start", "end")}
-        blank = bytes(4 * window)
-        now["context"] = np.frombuffer(b"".join(c or blank for c in batch.column("context").to_pylist()), np.uint32).reshape(-1, window)
+        now = {k: batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in names}
+        now["context"] = np.frombuffer(b"".join(batch.column("context").to_pylist()), np.uint32).reshape(-1, reach)
+        n_rows += batch.num_rows
+        first = first or {k: v[:1].copy() for k, v in now.items()}
         if wait is not None:
             now = {k: np.concatenate((wait[k], now[k])) for k in now}
         n = len(now["ra"])
         same = (now["key"][1:] == now["key"][:-1]) & (now["side"][1:] == now["side"][:-1])
         differ = now["context"][1:] != now["context"][:-1]
-        common = np.where(differ.any(axis=1), differ.argmax(axis=1), window) if n > 1 else np.zeros(0, np.int64)
+        common = np.where(differ.any(axis=1), differ.argmax(axis=1), reach) if n > 1 else np.zeros(0, np.int64)
         common = np.where(same, np.minimum(np.minimum(common, now["size"][1:]), now["size"][:-1]), 0)
         best = np.zeros(n, np.int64)
         best[:-1] = common
@@ -180,23 +197,74 @@ def _neighbours(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.R
         if wait is not None:
             best[0] = max(best[0], open_best)
         yield emit({k: v[:-1] for k, v in now.items()}, best[:-1])
-        wait, open_best = {k: v[-1:] for k, v in now.items()}, int(best[-1])
+        wait, open_best = {k: v[-1:].copy() for k, v in now.items()}, int(best[-1])
     if wait is not None:
         yield emit(wait, np.array([open_best]))
+        if borders:
+            yield emit(first, None)
+            if n_rows > 1:
+                yield emit(wait, None)
+
+
+_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+_STEMS = pa.list_(pa.struct([("key", pa.int64()), ("at", pa.int32()), ("l", pa.int32()), ("r", pa.int32())]))
+
+
+def _settled(batches: Iterator[pa.RecordBatch], stem: int, min_words: int) -> Iterator[pa.RecordBatch]:
+    """Per text: the spans that have one partner, the stems that reach `min_words` words to both sides together, and the keys of
+    those whose reach holds words outside the spans."""
+    for batch in batches:
+        out: list[tuple] = []
+        for ra, rb, found in zip(batch.column("ra").to_pylist(), batch.column("rb").to_pylist(), batch.column("found"), strict=True):
+            sides: tuple[dict, dict] = ({}, {})
+            spans, keys = [], {}
+            for x in found.as_py():
+                if x["side"] == 2:
+                    spans.append((x["start"], x["start"] + x["best"]))
+                else:
+                    keys[x["start"]] = x["key"]
+                    sides[x["side"]][x["start"]] = max(x["best"], sides[x["side"]].get(x["start"], 0))
+            reaches = [(a, sides[0].get(a, 0), sides[1].get(a, 0)) for a in sorted(keys)]
+            spans += [(a - n, a + stem) for a, n, _ in reaches if n + stem >= min_words] + [(a, a + stem + n) for a, _, n in reaches if n + stem >= min_words]
+            spans = joined(spans)
+            wide = [(a, n, m) for a, n, m in reaches if n + stem + m >= min_words]
+            edges, at = set(), 0
+            for a, n, m in wide:
+                while at < len(spans) and spans[at][1] < a + stem:
+                    at += 1
+                if not any(s <= a - n and a + stem + m <= e for s, e in spans[max(at - 1, 0) : at + 2]):
+                    edges.add(keys[a])
+            if spans or wide:
+                out.append((ra, rb, [{"start": a, "end": b} for a, b in spans], [{"key": keys[a], "at": a, "l": n, "r": m} for a, n, m in wide], sorted(edges)))
+        columns = list(zip(*out, strict=True)) or [[]] * 5
+        kinds = (pa.int64(), pa.int64(), _SPANS, _STEMS, pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["ra", "rb", "spans", "stems", "edges"])
+
+
+def _windows(batches: Iterator[pa.RecordBatch], window: int, min_words: int) -> Iterator[pa.RecordBatch]:
+    """128 bits of each passage of `min_words` words that begins up to `window` - 1 words before a stem asked for."""
+    words, one, two = WordHashes(), Runs(_BASES[0]), Runs(_BASES[1])
+    for batch in batches:
+        for x, ra, rb, stems in zip(batch.column("text"), batch.column("ra").to_pylist(), batch.column("rb").to_pylist(), batch.column("stems"), strict=True):
+            starts = {s["at"] - o for s in stems.as_py() for o in range(max(0, window - 1 - s["r"]), min(window - 1, s["l"]) + 1)}
+            at = np.array(sorted(starts), np.int64)
+            hashes = words((x.as_py() or "").split())
+            arrays = [pa.array(h(hashes, at, min_words).view(np.int64)) for h in (one, two)] + [pa.array(np.full(len(at), r, np.int64)) for r in (ra, rb)] + [pa.array(at.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["w", "v", "ra", "rb", "start"])
 
 
-def _spans(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         for ra, rb, found in zip(batch.column("ra").to_pylist(), batch.column("rb").to_pylist(), batch.column("found").to_pylist(), strict=True):
-            out += [(ra, rb, a, b) for a, b in joined([(x["start"], x["end"]) for x in found]) if b - a >= min_words]
+            out += [(ra, rb, a, b) for a, b in joined([(x["start"], x["end"]) for x in found])]
         columns = list(zip(*out, strict=True)) or [[], [], [], []]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["ra", "rb", "start_word", "end_word"])
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_words: int = 50, gram: int = 8, window: int = 16) -> DataFrame:
     """One row per span: id, start_word and end_word (exclusive), n_words. Documents without repeats have none."""
-    stem = min_words - window + 1
+    stem, reach = min_words - window + 1, 2 * window
     if stem < gram:
         raise ValueError("min_words must be at least window + gram - 1")
     texts = docs.filter(docs[text_col].isNotNull()).select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
@@ -209,11 +277,32 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     once = texts.groupBy("ra", "rb").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
     met = met.join(texts.select("ra", "rb").distinct(), "ra")
     sent = once.join(met, ["ra", "rb"], "left").filter("copies > 1 OR keys IS NOT NULL").select("text", "ra", "rb", "copies", "keys")
-    contexts = sent.mapInArrow(lambda b: _contexts(b, gram, window, stem, min_words), "side byte, key long, context binary, size byte, ra long, rb long, start int, end int")
-    # neighbours that share no word have nothing to add, so the first word helps to spread a frequent stem
-    dealt = contexts.repartition("side", "key", F.substring("context", 1, 4)).sortWithinPartitions("side", "key", "context")
-    lengths = dealt.mapInArrow(lambda b: _neighbours(b, window), "ra long, rb long, start int, end int")
-    found = lengths.groupBy("ra", "rb").agg(F.collect_list(F.struct("start", "end")).alias("found"))
-    spans = found.mapInArrow(lambda b: _spans(b, min_words), "ra long, rb long, start_word int, end_word int")
+    sent = written(sent, "sent")
+    contexts = "key long, left binary, lsize byte, right binary, rsize byte, ra long, rb long, start int, end int"
+    contexts = written(sent.mapInArrow(lambda b: _contexts(b, gram, window, stem, min_words), contexts), "contexts")
+    dropped(stems, often)
+
+    sides = F.array(*[F.struct(F.lit(k).cast("byte").alias("side"), F.col(c).alias("context"), F.col(f"{c[0]}size").alias("size")) for k, c in enumerate(("left", "right"))])
+    rows = contexts.filter("key IS NOT NULL").select("key", "ra", "rb", "start", F.explode(sides).alias("x")).select("x.side", "key", "x.context", "x.size", "ra", "rb", "start")
+    order = ("side", "key", "context", "ra", "rb", "start")
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    lengths = written(dealt.mapInArrow(lambda b: _neighbours(b, reach, True), _MET), "lengths")
+    # two rows of each range, in one task
+    edge = lengths.filter("best IS NULL").select("side", "key", "context", "size", "ra", "rb", "start").repartition(1).sortWithinPartitions(*order)
+    edge = edge.mapInArrow(lambda b: _neighbours(b, reach, False), _MET)
+    pieces = lengths.filter("best IS NOT NULL").unionByName(edge).select("ra", "rb", F.struct("start", "key", F.col("side").cast("int").alias("side"), "best").alias("x"))
+    again = contexts.filter("key IS NULL").select("ra", "rb", F.struct("start", "key", F.lit(2).alias("side"), (F.col("end") - F.col("start")).alias("best")).alias("x"))
+    found = pieces.unionByName(again).groupBy("ra", "rb").agg(F.collect_list("x").alias("found"))
+    settled = "ra long, rb long, spans array<struct<start:int,end:int>>, stems array<struct<key:long,at:int,l:int,r:int>>, edges array<long>"
+    settled = written(found.mapInArrow(lambda b: _settled(b, stem, min_words), settled), "settled")
+
+    keys = written(settled.select(F.explode("edges").alias("key")).distinct(), "edges")
+    asked = settled.select("ra", "rb", F.explode("stems").alias("s")).withColumn("key", F.col("s.key")).join(keys, "key")
+    asked = asked.groupBy("ra", "rb").agg(F.collect_list("s").alias("stems")).join(sent.select("ra", "rb", "text"), ["ra", "rb"])
+    windows = written(asked.select("ra", "rb", "text", "stems").mapInArrow(lambda b: _windows(b, window, min_words), "w long, v long, ra long, rb long, start int"), "windows")
+    twice = written(windows.groupBy("w", "v").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("w", "v"), "twice")
+    more = windows.join(twice, ["w", "v"]).select("ra", "rb", F.struct("start", (F.col("start") + min_words).alias("end")).alias("x"))
+    every = settled.select("ra", "rb", F.explode("spans").alias("x")).unionByName(more).groupBy("ra", "rb").agg(F.collect_list("x").alias("found"))
+    spans = every.mapInArrow(_spans, "ra long, rb long, start_word int, end_word int")
     out = texts.select("id", "ra", "rb").join(spans, ["ra", "rb"])
     return out.select(F.col("id").alias(id_col), "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"))
