@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from quern.llm import jaccard_join
 from quern.llm.components import components
@@ -41,11 +42,58 @@ def expected(rows, threshold=0.8):
     return sorted(out, key=str)
 
 
-def test_against_all_pairs(docs, rows):
-    got = jaccard_join.join(docs, recall=0.99999, chunk_shingles=900).collect()
+@pytest.mark.parametrize("cut", [{}, {"chunk_shingles": 900}, {"chunk_classes": 3}])
+def test_against_all_pairs(docs, rows, cut):
+    got = jaccard_join.join(docs, recall=0.99999, **cut).collect()
     assert sorted(map(tuple, got), key=str) == expected(rows)
 
 
+def family(n, size=120, edits=1, seed=3):
+    """Near copies of one text, each with a few words changed."""
+    rng = random.Random(seed)
+    base = [f"w{k}" for k in range(size)]
+    out = []
+    for k in range(n):
+        w = list(base)
+        for _ in range(rng.randint(0, edits)):
+            w[rng.randrange(size)] = f"x{k}y{rng.random()}"
+        out.append(" ".join(w))
+    return out
+
+
+def test_a_family_cut_into_many_chunks(spark):
+    rows = [(k, t, None) for k, t in enumerate(family(60, 60, 3))]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    got = jaccard_join.join(docs, recall=0.99999, chunk_classes=7).collect()
+    assert sorted(map(tuple, got), key=str) == expected(rows)
+
+
+def test_whole_sets_go_once_to_each_bucket(spark, monkeypatch):
+    """What is shuffled of a family of near copies grows about as its rows do, however many chunks it is cut into."""
+    moved = []
+    keep = jaccard_join.written
+
+    def written(df, label):
+        out = keep(df, label)
+        if label == "found":
+            deltas = out.filter("delta IS NOT NULL").selectExpr("coalesce(sum(octet_length(delta) + 60), 0)").first()[0]
+            moved.append(deltas)
+        return out
+
+    monkeypatch.setattr(jaccard_join, "written", written)
+    for n in (100, 400):
+        docs = spark.createDataFrame([(k, t) for k, t in enumerate(family(n, 400))], "doc_id long, text string")
+        assert {r["n_links"] for r in jaccard_join.join(docs, chunk_classes=50).collect()} == {n - 1}
+    whole = 18 * 400 * 396 * 8  # once in each band
+    assert moved[1] < 0.5 * whole
+
+
+def test_rows_without_ids_meet_their_own_class_only(spark):
+    rows = [(None, t, None) for t in family(30, 40, 1)] + [(None, None, None)] * 40 + [(5, "a b c", None), (5, "d e f", None), (5, "a b c d", None)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    assert sorted(map(tuple, jaccard_join.join(docs, recall=0.99999).collect()), key=str) == expected(rows)
+
+
 def test_default_bands_find_near_copies(docs, rows):
     got = {r["doc_id"]: r for r in jaccard_join.join(docs).collect()}
     want = {r[0]: r for r in expected(rows)}
