@@ -6,8 +6,9 @@ telephone numbers (+ and country code, or with area code in brackets), IPv4 addr
 split in two halves that take turns in being shifted, position by position and each modulo its own radix, by a keyed hash of
 the other half: a permutation of all values of the same kind and shape, so equal values stay equal across documents and
 different ones stay different. Where a shape has values that aren't valid, the network is applied again until one is (cycle
-walking). Check digits are computed anew. A date's format, a number's punctuation and the + country code stay; the same digits get the
-same pseudonym whatever their punctuation.
+walking). Check digits are computed anew. A number's punctuation and its country code after + stay; the same digits get the same
+pseudonym whatever their punctuation. A date's format stays, and so does whether day and month have one digit or two and
+whether the day can be a month, so that the format can be read again; the same date gets the same pseudonym in all formats.
 
 Where a card number or IBAN as long as it can be read isn't valid, parts of it that separators bound are tried: for cards
 of 13 to 19 digits, usual groupings first, then by start, longest first; for IBANs of the country's length. The search goes
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from datetime import date, timedelta
 
@@ -49,6 +51,9 @@ IBAN_LENGTHS = {country: int(n) for n, countries in (
     ("23", "AE GI IL IQ OM SO TL"), ("24", "AD CZ ES MD PK RO SA SE SK TN VG"), ("25", "LY PT ST"), ("26", "IS TR"), ("27", "BI DJ FR GR IT MC MR SM"), ("28", "AL AZ BY CY DO GT HN HU LB NI PL SV"),
     ("29", "BR EG PS QA UA"), ("30", "JO KW MU YE"), ("31", "MT SC"), ("32", "LC"), ("33", "RU"),
 ) for country in countries.split()}
+#: Country calling codes of one and of two digits; all others have three.
+CALLING_CODES = ("1", "7", "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "51", "52", "53", "54", "55", "56", "57", "58",
+                 "60", "61", "62", "63", "64", "65", "66", "81", "82", "84", "86", "90", "91", "92", "93", "94", "95", "98")
 #: A text without any of these holds no value.
 HINT = re.compile(r"\d[\d()./ +-]{6}|@|[A-Z]{2}\d{2}", re.ASCII)
 
@@ -148,6 +153,23 @@ def _ascii_digit(c: str) -> bool:
     return "0" <= c <= "9"
 
 
+class Taken:
+    """Values found, in order; none overlaps another."""
+
+    def __init__(self):
+        self.values: list[tuple[int, int, str, str]] = []
+        self.starts: list[int] = []
+
+    def add(self, values: list[tuple[int, int, str, str]]) -> None:
+        if values:
+            self.values = sorted(self.values + values)
+            self.starts = [v[0] for v in self.values]
+
+    def meets(self, start: int, end: int) -> bool:
+        before = bisect_left(self.starts, end)
+        return before > 0 and self.values[before - 1][1] > start
+
+
 class Pseudonyms:
     """Pseudonyms of each kind under a key; `back` undoes them."""
 
@@ -189,8 +211,8 @@ class Pseudonyms:
         return ".".join(map(str, self._turn("ip", [int(x) for x in octets], [256] * 4)))
 
     def date(self, value: str) -> str | None:
-        """Day first where both readings exist. Days up to 12 and later ones are permuted among themselves, so a date that
-        can be read only as month first still can."""
+        """Day first where both readings exist. Days and months are permuted among those of the same width, and days that can
+        be months among themselves, so a date that can be read only as month first still can and its format stays plain."""
         parts = re.split(r"[-/.]", value)
         orders = ((0, 1, 2),) if len(parts[0]) == 4 else ((2, 1, 0), (2, 0, 1))
         for order in orders:
@@ -204,15 +226,15 @@ class Pseudonyms:
         at, wide = (day - FIRST_DAY).days, 271  # 271 * 271 values hold all days
         if not 0 <= at < N_DAYS:
             return None
+        kind = lambda d: (d.month > 9, (d.day > 9) + (d.day > 12))
 
         def valid(s: list[int]) -> bool:
             at = s[0] * wide + s[1]
-            return at < N_DAYS and ((FIRST_DAY + timedelta(at)).day > 12) == (day.day > 12)
+            return at < N_DAYS and kind(FIRST_DAY + timedelta(at)) == kind(day)
 
         high, low = self._turn("date", [at // wide, at % wide], [wide, wide], valid)
         new = FIRST_DAY + timedelta(high * wide + low)
-        padded = min(len(p) for p in parts) > 1
-        shown = dict(zip(order, (f"{new.year:04d}", *(f"{x:02d}" if padded else str(x) for x in (new.month, new.day))), strict=True))
+        shown = {i: str(x).zfill(len(parts[i])) for i, x in zip(order, (new.year, new.month, new.day), strict=True)}
         return re.search(r"[-/.]", value)[0].join(shown[i] for i in range(3))
 
     def ssn(self, value: str) -> str | None:
@@ -225,9 +247,8 @@ class Pseudonyms:
         digits = [int(c) for c in value if _ascii_digit(c)]
         if not 8 <= len(digits) <= 15:
             return None
-        code = len(re.match(r"\+?(\d*)", value)[1]) if value[0] == "+" else 0
-        if len(digits) - code < 4:  # no punctuation after the country code
-            code = 1
+        plain = "".join(map(str, digits))
+        code = (next((n for n in (1, 2) if plain[:n] in CALLING_CODES), 3)) if value[0] == "+" else 0
         body = self._turn(f"phone{''.join(map(str, digits[:code]))}", digits[code:], [10] * (len(digits) - code))
         return _put(value, iter("".join(map(str, digits[:code] + body))), _ascii_digit)
 
@@ -245,15 +266,15 @@ class Pseudonyms:
             out[i] = chr(ord(zero[i]) + s)
         return "".join(out) + "@" + domain
 
-    def _in_parts(self, kind: str, pattern: re.Pattern, text: str, taken: list[tuple[int, int, str, str]]) -> Iterator[tuple[int, int, str, str]]:
+    def _in_parts(self, kind: str, pattern: re.Pattern, text: str, taken: Taken) -> Iterator[tuple[int, int, str, str]]:
         parts, valid = IN_PARTS[kind]
-        at, old = 0, list(taken)
+        at = 0
         while m := pattern.search(text, at):
             value, start = m[0], m.start()
             tried: list[tuple[int, int]] = []
             at = start + next((i for i, c in enumerate(value) if c in " -"), len(value))
             for a, b in parts(value):
-                if any(x < start + b and start + a < y for x, y, _, _ in old):
+                if taken.meets(start + a, start + b):
                     continue
                 if valid(value[a:b]):
                     others = lambda new, a=a, b=b: not any(valid((value[:a] + new + value[b:])[c:d]) for c, d in tried)  # noqa: B023, E731
@@ -262,24 +283,24 @@ class Pseudonyms:
                     break
                 tried.append((a, b))
 
+    def _matches(self, kind: str, pattern: re.Pattern, text: str, taken: Taken) -> Iterator[tuple[int, int, str, str]]:
+        turn = getattr(self, kind)
+        for m in pattern.finditer(text):
+            if not taken.meets(m.start(), m.end()) and (new := turn(m[0])) is not None:
+                yield m.start(), m.end(), kind, new
+
     def text(self, text: str) -> tuple[str, dict[str, int], list[tuple[str, int, int]]]:
         """The text with pseudonyms, how many by kind, and (kind, start, end) of each in the text given."""
-        taken: list[tuple[int, int, str, str]] = []
+        taken = Taken()
         if HINT.search(text):
             for kind, pattern in PATTERNS:
-                turn = getattr(self, kind)
-                if kind in IN_PARTS:
-                    taken += self._in_parts(kind, pattern, text, taken)
-                    continue
-                for m in pattern.finditer(text):
-                    if not any(a < m.end() and m.start() < b for a, b, _, _ in taken) and (new := turn(m[0])) is not None:
-                        taken.append((m.start(), m.end(), kind, new))
+                taken.add(list((self._in_parts if kind in IN_PARTS else self._matches)(kind, pattern, text, taken)))
         counts, parts, at = dict.fromkeys(KINDS, 0), [], 0
-        for start, end, kind, new in sorted(taken):
+        for start, end, kind, new in taken.values:
             counts[kind] += 1
             parts += (text[at:start], new)
             at = end
-        return "".join((*parts, text[at:])), counts, [(kind, a, b) for a, b, kind, _ in sorted(taken)]
+        return "".join((*parts, text[at:])), counts, [(kind, a, b) for a, b, kind, _ in taken.values]
 
 
 def _done(batches: Iterator[pa.RecordBatch], key: bytes, back: bool) -> Iterator[pa.RecordBatch]:
