@@ -49,7 +49,7 @@ def items_and_docs():
     return items, [*docs, (100, None), (101, ""), (None, items[0][1]), (7, items[1][1]), (102, f"É ü x {items[15][1]}")]
 
 
-@pytest.mark.parametrize("block_chars", [60, 10**6])
+@pytest.mark.parametrize("block_chars", [300, 10**6])
 def test_rows_against_brute_force(spark, block_chars):
     items, rows = items_and_docs()
     table = spark.createDataFrame(items, "item_id long, text string")
@@ -72,3 +72,35 @@ def test_clean_and_empty(spark, docs, no_docs):
     assert sorted(map(str, kept.collect())) == sorted(str(r) for r in own.collect() if not brute(r["text"], items, 10)[1])
     assert decontaminate.clean(docs, table.filter("false")).count() == docs.count()
     assert decontaminate.decontaminate(no_docs, table).collect() == []
+
+
+def test_one_long_item_is_cut_and_blocks_stay_small(spark, monkeypatch):
+    rng = random.Random(10)
+    long = words(rng, 4000)
+    items = spark.createDataFrame([(1, long), (2, words(rng, 300)), (1, long)], "item_id long, text string")
+    made = []
+    keep = Windows.__init__
+
+    def noted(self, some, width):
+        made.append(sum(len(w) for _, w in some))
+        keep(self, some, width)
+
+    monkeypatch.setattr(Windows, "__init__", noted)
+    monkeypatch.setattr(decontaminate, "PIECE", 50)
+    w = long.split()
+    rows = [(k, " ".join([words(rng, 5), *w[at : at + 12], words(rng, 5)])) for k, at in enumerate(range(0, 3980, 97))] + [(900, words(rng, 40)), (901, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_hit"], r["n_items"]) for r in decontaminate.decontaminate(docs, items, block_chars=8_000).collect()}
+    assert got == {k: (12, 1) if k < 900 else (0, 0) for k, _ in rows}
+    assert len(made) >= 3 and max(made) < 0.8 * 4300
+    kept = decontaminate.clean(docs, items)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [900, 901]
+
+
+def test_bytes_a_window():
+    import pickle
+
+    rng = random.Random(11)
+    table = Windows([(str(k), words(rng, 110)) for k in range(300)], 10)
+    windows = sum(len(h) if isinstance(h, dict) else 1 for _, _, b in table.tables for h in b.values())
+    assert windows > 30_000 and len(pickle.dumps(table)) < 120 * windows
