@@ -36,6 +36,28 @@ def test_small_tries_count_alike():
     assert len(small.best) < 40
 
 
+def test_long_pre_tokens_count_alike():
+    rng = random.Random(6)
+    deep, flat = Trie(PIECES, -20.0, 10**6, depth=10**6), Trie(PIECES, -20.0, 10**6, depth=1)
+    for n in (*range(1, 20), 63, 64, 65, 500):
+        word = "".join(rng.choice("abcx漢") for _ in range(n))
+        assert flat.count(word) == deep.count(word) == Trie(PIECES, -20.0, 10**6).count(word)
+    assert len(flat.best) <= 20 * (flat.depth + 1)
+
+
+def test_a_pre_token_of_millions_of_characters_takes_bounded_memory():
+    import tracemalloc
+
+    word = "abcx" * 500_000
+    trie = Trie(PIECES, -20.0, 400_000)
+    tracemalloc.start()
+    n = trie.count(word)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(trie.best) < 100 and peak < 10 * 2**20 and not trie.counts
+    assert n > 500_000
+
+
 def test_prefixes_share_nodes():
     trie = Trie(PIECES, -20.0, 1000)
     trie.count("abc")
