@@ -14,11 +14,22 @@ def spark_xxhash(words):
     return seed - 2**64 if seed >= 2**63 else seed
 
 
-def brute(text, width=5, fraction=0.25):
+def brute(text, width=5, fraction=fingerprints.FRACTION, floor=fingerprints.FLOOR):
     w = (text or "").lower().split()
     k = min(width, len(w))
     limit = int(-(2**63) + fraction * 2**64)
-    return sorted({h for i in range(len(w) - k + 1) if (h := spark_xxhash(w[i : i + k])) < limit}) if w else []
+    every = sorted({spark_xxhash(w[i : i + k]) for i in range(len(w) - k + 1)}) if w else []
+    return [h for n, h in enumerate(every) if h < limit or n < floor]
+
+
+def brute_reach(hashes, fraction=fingerprints.FRACTION, floor=fingerprints.FLOOR):
+    return max(int(-(2**63) + fraction * 2**64) - 1, hashes[-1]) if len(hashes) >= floor else 2**63 - 1
+
+
+def brute_near(x, y, same):
+    to = min(brute_reach(x), brute_reach(y))
+    a, b = ({h for h in s if h <= to} for s in (x, y))
+    return float(same) if not x and not y else len(a & b) / min(len(a), len(b)) if a and b else 0.0
 
 
 def as_text(hashes):
@@ -39,8 +50,7 @@ def test_against_brute_force(docs, rows):
         if all(c.isascii() for c in t + following):  # white space beyond ASCII is split differently by Python
             a, e, n = brute(t), brute(edited), brute(following)
             assert (r["fingerprint"], r["edited_fingerprint"]) == (as_text(a), as_text(e))
-            near = lambda x, y, same: float(same) if not x and not y else len({*x} & {*y}) / min(len(x), len(y)) if x and y else 0.0  # noqa: B023, E731
-            assert abs(r["near_edited"] - near(a, e, t == edited)) < 1e-12 and abs(r["near_next"] - near(a, n, t == following)) < 1e-12
+            assert abs(r["near_edited"] - brute_near(a, e, t == edited)) < 1e-12 and abs(r["near_next"] - brute_near(a, n, t == following)) < 1e-12
 
 
 def test_next_by_buckets(spark):
@@ -51,6 +61,43 @@ def test_next_by_buckets(spark):
         assert {r["id"]: r["next"]["text"] for r in got} == {a: f"t{b}" for a, b in zip(ids, ids[1:] + ids[:1], strict=True)}
 
 
+def test_next_of_hot_and_null_ids(spark):
+    """An id, and null, that hold a third of the rows each are cut by the hash of the text."""
+    rows = [(i, f"t{i}") for i in range(40)] + [(17, f"hot{k}") for k in range(60)] + [(None, f"none{k}") for k in range(60)] + [(None, "none0")] * 3
+    docs = spark.createDataFrame(rows, "id long, text string").withColumn("h", F.xxhash64("text"))
+    order = sorted(docs.collect(), key=lambda r: (r["id"] is None, r["id"] or 0, r["h"]))
+    want = sorted((str(a["id"]), a["text"], b["text"]) for a, b in zip(order, order[1:] + order[:1], strict=True))
+    for n in (7, 1000):
+        got = fingerprints.with_next(docs, F.col("id"), F.xxhash64("text"), ["text"], rows_per_bucket=n).collect()
+        assert sorted((str(r["id"]), r["text"], r["next"]["text"]) for r in got) == want
+
+
+def test_ranks_among_many_bounds(spark):
+    for bounds in (list(range(0, 90_000, 3)), [5], list(range(-200, 200, 2))):
+        values = [bounds[0], bounds[0] + 1, bounds[-1], bounds[-1] + 50, *bounds[100:60_000:1711], *(b + 1 for b in bounds[127:60_000:1711])]
+        got = spark.createDataFrame([(v,) for v in values], "v long").select("v", fingerprints._rank(F.col("v"), bounds).alias("r")).collect()
+        assert [r["r"] for r in got] == [sum(b <= v for b in bounds) - 1 for v in values]
+
+
+def test_size_and_error_of_sketches(spark):
+    """Long sketches take a small share of the text; estimates keep to the error stated."""
+    import random
+
+    rng = random.Random(2)
+    words = [f"w{k}x{rng.random()}"[:9] for k in range(4000)]
+    pairs = []
+    for k in range(200):
+        n = rng.choice((60, 300, 2000))
+        a = rng.sample(words, n)
+        pairs.append((k, n, " ".join(a), " ".join(a[: n // 2] + rng.sample(words, n - n // 2))))
+    got = spark.createDataFrame(pairs, "k long, n int, a string, b string").select("n", "a", sketch(F.col("a")).alias("s"), containment(sketch(F.col("a")), sketch(F.col("b"))).alias("c")).collect()
+    for n, most in ((60, 0.15), (300, 0.15), (2000, 0.08)):
+        own = [r for r in got if r["n"] == n]
+        assert (sum((r["c"] - 0.5) ** 2 for r in own) / len(own)) ** 0.5 <= most
+        assert all(len(r["s"]) >= fingerprints.FLOOR for r in own)
+    assert sum(16 * len(r["s"]) for r in got if r["n"] == 2000) < 0.1 * sum(len(r["a"]) for r in got if r["n"] == 2000)
+
+
 def test_repeated_and_null_ids(docs, rows, spark):
     assert fingerprints.fingerprints(docs).count() == len(rows)
     none = spark.createDataFrame([(None, "a b"), (None, "c d")], "doc_id long, text string")
