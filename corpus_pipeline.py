@@ -1,7 +1,8 @@
 """A corpus pipeline of five stages. Each takes (spark, docs, sf_dir), works on all that its predecessor kept and returns a
 DataFrame; all but the last return the columns of documents. Stages are written as Parquet and read again in between.
 
-Null texts pass every filter but are no document to copy from and no copy; empty texts stay; rows with null ids stay unless
+Null texts pass every filter but are no document to copy from and no copy; empty texts stay up to the mix, which draws
+documents with words only; rows with null ids stay unless
 a filter rejects them; rows that repeat are judged alike, but of near copies that all have null ids one row stays. Extra columns are kept by the filters. Empty tables give empty
 tables."""
 
@@ -37,8 +38,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix of what is left: per document its size, its source's size and target, words taken and output shards."""
-    return mixing.mix(docs)
+    """The mix of what is left, drawn and shuffled: a row for each copy taken, with its document's columns, size, its source's
+    size and target, the words taken of the document and of the copy, output shard and place in it."""
+    return mixing.shuffled(docs)
 
 
 STAGES = [

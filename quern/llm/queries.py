@@ -29,7 +29,7 @@ _LEVEL = (
     "sid, block, epoch) > ceil(count(*) OVER (PARTITION BY node) / 2.0) THEN 1 ELSE 0 END AS node FROM l{0}),"
 )
 ORACLES["op6_mixing"] = r"""
-WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, substr(md5(coalesce(text, '')), 1, 16) AS tkey FROM documents),
 s AS (SELECT source, count(*) AS n, sum(size) AS z FROM d GROUP BY 1),
 r AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS sid FROM s),
 w AS (SELECT *, CASE sid % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END::DOUBLE AS w, 3 * z AS cap FROM r),
@@ -38,7 +38,7 @@ o AS (SELECT *, cap / w AS ratio, (sum(z) OVER () - coalesce(sum(cap) OVER b, 0)
 f AS (SELECT level FROM o WHERE level <= ratio ORDER BY pos LIMIT 1),
 t AS (SELECT source, sid, CAST(z AS BIGINT) AS z, n, least(CAST(cap AS DOUBLE), (SELECT level FROM f) * w) AS target FROM o),
 p AS (SELECT source, sid, z, target, CAST(round(target) AS BIGINT) AS quota, CASE WHEN z > 0 THEN CAST(round(target) AS BIGINT) // z ELSE 0 END AS whole, (n + 499) // 500 AS n_blocks FROM t),
-k AS (SELECT d.doc_id, d.size, p.sid, p.z, p.target, p.whole, p.quota - p.whole * p.z AS rest, CAST('0x' || substr(md5('mix-1:doc:' || d.doc_id || ':' || d.size), 1, 15) AS BIGINT) AS key, n_blocks FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source),
+k AS (SELECT d.doc_id, d.size, p.sid, p.z, p.target, p.whole, p.quota - p.whole * p.z AS rest, CAST('0x' || substr(md5('mix-1:doc:' || d.doc_id || ':' || d.size || ':' || d.tkey), 1, 15) AS BIGINT) AS key, n_blocks FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source),
 b AS (SELECT *, key % n_blocks AS block FROM k),
 bs AS (SELECT sid, block, sum(size) AS size FROM b GROUP BY 1, 2),
 bo AS (SELECT sid, block, CAST(coalesce(sum(size) OVER (PARTITION BY sid ORDER BY CAST('0x' || substr(md5('mix-1:block:' || sid || ':' || block), 1, 15) AS BIGINT), block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before FROM bs),

@@ -51,8 +51,9 @@ def test_reruns_and_partitions_agree(docs):
 def test_shards_get_equal_blocks_and_every_copy_once(spark):
     rows = [(i, "w " * (i % 7 + 1), f"s{i % 4}") for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    mixed = mixing.mix(docs, docs_per_block=5, shards=4)
-    out = mixing.shuffled(docs.withColumn("shard", F.lit("x")), mixed)
+    settings = {"docs_per_block": 5, "shards": 4}
+    mixed = mixing.mix(docs, **settings)
+    out = mixing.shuffled(docs.withColumn("shard", F.lit("x")), copies_per_slice=30, **settings)
     assert {r["shard"] for r in out.select("shard").distinct().collect()} == {0, 1, 2, 3}
     taken = {r["doc_id"]: r["words"] for r in out.groupBy("doc_id").agg(F.sum("words").alias("words")).collect()}
     assert taken == {r["doc_id"]: r["taken"] for r in mixed.collect() if r["taken"]}
@@ -62,6 +63,46 @@ def test_shards_get_equal_blocks_and_every_copy_once(spark):
     assert max(r["count"] for r in dealt) - min(r["count"] for r in dealt) <= 2
 
 
+def test_the_mix_of_rows_without_ids_and_of_repeated_rows(docs, rows):
+    """Every copy is drawn once for every row, whatever its id; columns of the names made give way, others stay."""
+    mixed = mixing.mix(docs, docs_per_block=4, shards=2).collect()
+    out = mixing.shuffled(docs, docs_per_block=4, shards=2)
+    made = ["size", "source_size", "target", "taken", "shard", "epoch", "words", "place"]
+    assert out.columns == [c for c in docs.columns if c not in made] + made
+    got = out.collect()
+    assert sum(r["words"] for r in got) == sum(r["taken"] for r in mixed)
+    assert len(got) == sum(len(r["shards"].split(",")) for r in mixed if r["shards"])
+    by_id = lambda rs, c: sorted((str(i), sum(r[c] for r in rs if r["doc_id"] == i)) for i in {r["doc_id"] for r in rs if r[c]})
+    assert by_id(got, "words") == by_id(mixed, "taken")
+    assert all(r["words"] <= r["size"] and r["text"] is not None for r in got)
+
+
+def test_a_shard_is_many_slices_in_order(spark):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "concat('w ', id) AS text", "'a' AS source")
+    out = mixing.shuffled(docs, docs_per_block=10, shards=2, copies_per_slice=100)
+    parts = out.select(F.spark_partition_id().alias("p"), "shard", "place", "doc_id").collect()
+    slices = 3000 // 200 + 1
+    cut = lambda r: (r["shard"], int(r["place"] / (2.0**60 / slices)))
+    assert len({cut(r) for r in parts}) == 2 * slices
+    for s in {cut(r) for r in parts}:
+        own = [r for r in parts if cut(r) == s]
+        assert len({r["p"] for r in own}) == 1 and [r["place"] for r in own] == sorted(r["place"] for r in own)
+    order = [r["doc_id"] for r in sorted(parts, key=lambda r: (r["shard"], r["place"]))]
+    assert sum(a < b for a, b in zip(order, order[1:], strict=False)) < 0.6 * len(order)
+    with pytest.raises(ValueError):
+        mixing.mix(docs, shards=12)
+
+
+def test_places_against_one_window(spark):
+    rows = [(k % 3, (k * 7919) % 50 * 2**50 + k % 5, k, k % 4) for k in range(500)]
+    df = spark.createDataFrame(rows, "p int, __key long, t int, v int")
+    got = {r["t"]: (r["b"], r["all"]) for r in mixing.placed(df, ["p"], ["t"], F.col("v"), "b", "all").collect()}
+    for p in range(3):
+        own = sorted((k, t, v) for q, k, t, v in rows if q == p)
+        for n, (_, t, _) in enumerate(own):
+            assert got[t] == (sum(v for _, _, v in own[:n]), sum(v for _, _, v in own))
+
+
 def test_splits_are_hypergeometric(spark):
     """Means over seeds of a source's blocks that go left: half of them."""
     rows = [(s, b, 1, 0) for s, n in ((0, 12), (1, 4)) for b in range(n)]

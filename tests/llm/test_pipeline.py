@@ -1,10 +1,11 @@
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quern.llm import toxicity
+from quern.llm import mixing, toxicity
 from quern.session import table
 
 from .conftest import frame, words
@@ -92,11 +93,24 @@ def test_decontamination(staged, world):
 
 
 def test_mixing_and_run(spark, staged, world):
+    """The mix drawn is the one planned: every copy once, with its document, and sources near their targets."""
     _, before, after = staged[4]
-    assert after.count() == before.count()
-    assert abs(after.agg(F.sum("taken")).first()[0] - after.agg(F.sum("size")).first()[0]) <= 10
+    plan = [r for r in mixing.mix(before).collect() if r["taken"]]
+    drawn = after.collect()
+    assert set(before.columns) <= set(after.columns)
+    words = Counter()
+    for r in drawn:
+        words[r["doc_id"]] += r["words"]
+    taken = Counter()
+    for r in plan:
+        taken[r["doc_id"]] += r["taken"]
+    assert words == taken and len(drawn) == sum(len(r["shards"].split(",")) for r in plan)
+    texts = {(r["doc_id"], r["text"], r["source"]) for r in before.collect()}
+    assert all((r["doc_id"], r["text"], r["source"]) in texts for r in drawn)
+    sources = {(r["source"], r["target"]) for r in drawn}
+    assert all(abs(sum(r["words"] for r in drawn if r["source"] == s) - t) <= 1 for s, t in sources)
     whole = corpus_pipeline.run(spark, world[0])
-    assert sorted(map(str, whole.collect())) == sorted(map(str, after.collect()))
+    assert sorted(map(str, whole.collect())) == sorted(map(str, drawn))
 
 
 def test_empty_tables(spark, tmp_path, no_docs):
