@@ -74,7 +74,7 @@ def test_toxicity(spark, staged, world):
 
 def test_line_dedup(staged):
     _, before, after = staged[1]
-    want = [(i, t) for i, t, n, gone in deduped(triples(before), 4, 8) if not gone or gone < n]
+    want = [(i, t) for i, t, n, gone in deduped(triples(before), 8) if not gone or gone < n]
     assert sorted(((i, t) for i, t, _ in triples(after)), key=key) == sorted(want, key=key)
     assert after.filter("text IS NOT NULL AND n_chars != char_length(text)").count() == 0
 
