@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quern.functions.text import strip_or_null
+
 #: Fixed value: the URL namespace of RFC 4122.
 URL_NAMESPACE = "6ba7b8119dad11d180b400c04fd430c8"
 
@@ -25,7 +27,7 @@ def entry_id(lang_code: Column, normalized_word: Column) -> Column:
 
 def group_id(pos: Column, etymology_id: Column) -> Column:
     """pos|etymology, `_` for what is blank."""
-    known = [F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit("_")) for c in (pos, etymology_id)]
+    known = [F.coalesce(strip_or_null(c), F.lit("_")) for c in (pos, etymology_id)]
     return F.concat_ws("|", *known)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions.canonical import with_canonical
+from quern.functions.text import strip
 from quern.operators import sampling
 from quern.operators.latest import latest_enrichments, pending
 from quern.schemas import RESPONSE
@@ -82,7 +83,7 @@ def findings(response: Column, payload: Column) -> Column:
             F.when(F.coalesce(opens, F.lit(False)) & ~F.left(note, F.lit(40)).rlike(QUOTED_LATIN), finding("restate_style_usage_note", F.concat(s["at"], F.lit(": "), F.left(note, F.lit(60))))),
         ))
 
-    hook, summary = (F.coalesce(F.trim(response[f]), F.lit("")) for f in ("memory_hook", "headword_summary"))
+    hook, summary = (F.coalesce(strip(response[f]), F.lit("")) for f in ("memory_hook", "headword_summary"))
     same = F.when((hook != "") & (hook == summary), F.array(finding("hook_equals_summary", F.left(hook, F.lit(60)))))
     mixed = F.regexp_extract(payload, MIXED_LANGUAGE, 0)
     mixed = F.when(mixed != "", F.array(finding("mixed_language", mixed)))
@@ -90,10 +91,10 @@ def findings(response: Column, payload: Column) -> Column:
     return F.concat(*[F.coalesce(p.cast(kind), none) for p in (over, F.flatten(F.transform(senses, of_sense)), same, mixed)])
 
 
-def audited(log: DataFrame, sample: int | None = None, seed: int | None = None) -> DataFrame:
+def audited(log: DataFrame, sample: int | None = None, seed: str | None = None) -> DataFrame:
     """(entry_id, check, detail) of successful responses, all or a sample."""
     rows = log.filter("status = 'succeeded'")
-    rows = sampling.random_sample(rows, sample, seed) if sample else rows
+    rows = sampling.random_sample(rows, sample, seed, "enrichment_id") if sample else rows
     read = rows.withColumn("r", F.from_json("response_payload", RESPONSE))
     return read.select("entry_id", F.explode(findings(F.col("r"), F.col("response_payload"))).alias("f")).select("entry_id", "f.*")
 

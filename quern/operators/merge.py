@@ -1,10 +1,13 @@
 """Keyed writes over immutable Parquet: upsert, replace children, delete by key, insert if absent.
 
-A table is a folder of versions and a pointer. A write makes a whole new version next to the old one and then moves the
-pointer, so readers see the old rows or the new ones. One writer at a time."""
+A store is a folder of tables. A table's rows are files in folders that nobody changes; which folders are whose says the newest
+file of the store's commit log. A write makes new folders and then one new commit, which may concern several tables, so
+readers see all of it or nothing, and a crash in between leaves the old state and some folders that no commit names. One
+writer at a time; a reader's folders stay for the next `KEEP` commits."""
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,57 +34,97 @@ def inserted(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return existing.unionByName(new.dropDuplicates(keys).join(existing.select(*keys), keys, "left_anti"), allowMissingColumns=True)
 
 
+#: Commits whose folders are kept, and folders of a table from which appending puts them together.
+KEEP, MOST_FOLDERS = 50, 64
+
+
+class Store:
+    """The commit log of a folder of tables: numbered files, each with the folders of every table; the newest holds."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        jvm = spark.sparkContext._jvm
+        self._path = jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _numbers(self) -> list[int]:
+        log = self._path(f"{self.path}/_commits")
+        names = [f.getPath().getName() for f in self._fs.listStatus(log)] if self._fs.exists(log) else []
+        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and n[0].isdigit())
+
+    def _file(self, number: int) -> str:
+        return f"{self.path}/_commits/{number:012d}.json"
+
+    def _read(self, number: int) -> dict[str, list[str]]:
+        return json.loads("".join(r[0] for r in self.spark.read.text(self._file(number)).collect()))
+
+    def state(self) -> dict[str, list[str]]:
+        numbers = self._numbers()
+        return self._read(numbers[-1]) if numbers else {}
+
+    def commit(self, changes: dict[str, list[str]]) -> None:
+        """The tables have these folders now, the others what they had. The file gets its name when it is whole."""
+        numbers = self._numbers()
+        number = numbers[-1] + 1 if numbers else 1
+        state = (self._read(numbers[-1]) if numbers else {}) | changes
+        part = self._path(f"{self.path}/_commits/part-{uuid.uuid4().hex}")
+        out = self._fs.create(part, True)
+        out.write(bytearray(json.dumps(state).encode()))
+        out.close()
+        if not self._fs.rename(part, self._path(self._file(number))):
+            raise RuntimeError(f"another writer made commit {number} of {self.path}")
+        self._forget([n for n in numbers if n <= number - KEEP])
+
+    def _forget(self, numbers: list[int]) -> None:
+        if not numbers:
+            return
+        named = {f for n in self._numbers() if n not in numbers for folders in self._read(n).values() for f in folders}
+        old = {f for n in numbers for folders in self._read(n).values() for f in folders}
+        for path in (*(f"{self.path}/{f}" for f in sorted(old - named)), *map(self._file, numbers)):
+            self._fs.delete(self._path(path), True)
+
+
 class VersionedTable:
-    """A Parquet table whose current version a pointer file names."""
+    """A Parquet table of a store: `path` is the store's folder and the table's name."""
 
     def __init__(self, spark: SparkSession, path: str, schema: StructType | str):
-        self.spark, self.path = spark, path.rstrip("/")
+        folder, _, self.name = path.rstrip("/").rpartition("/")
+        self.spark, self.store = spark, Store(spark, folder)
         self.schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
-    def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
-
-    def _pointer(self) -> str | None:
-        fs, p = self._fs(f"{self.path}/CURRENT")
-        if not fs.exists(p):
-            return None
-        return self.spark.read.text(str(p)).first()[0]
+    def _frame(self, folders: list[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.store.path}/{f}" for f in folders])
 
     def read(self) -> DataFrame:
-        version = self._pointer()
-        if version is None:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{version}")
+        return self._frame(self.store.state().get(self.name, []))
+
+    def put(self, df: DataFrame) -> str:
+        """Rows in a new folder, which a commit may name."""
+        folder = f"{self.name}/v-{uuid.uuid4().hex}"
+        df.select(*self.schema.fieldNames()).write.parquet(f"{self.store.path}/{folder}")
+        return folder
+
+    def replacing(self, df: DataFrame) -> dict[str, list[str]]:
+        """A change for commit(): `df`, which may be made from read(), becomes the table."""
+        return {self.name: [self.put(df)]}
+
+    def adding(self, df: DataFrame) -> dict[str, list[str]]:
+        """A change for commit(): rows are added; where a table has many folders, all go together into one."""
+        folders = self.store.state().get(self.name, [])
+        if len(folders) < MOST_FOLDERS:
+            return {self.name: [*folders, self.put(df)]}
+        return self.replacing(self._frame(folders).unionByName(df.select(*self.schema.fieldNames())))
 
     def write(self, df: DataFrame) -> None:
-        """`df`, which may be made from read(), becomes the table."""
-        before, version = self._pointer(), f"v-{uuid.uuid4().hex}"
-        df.select(*self.schema.fieldNames()).write.parquet(f"{self.path}/{version}")
-        self._point(version)
-        if before:
-            fs, p = self._fs(f"{self.path}/{before}")
-            fs.delete(p, True)
-
-    def _point(self, version: str) -> None:
-        fs, p = self._fs(f"{self.path}/CURRENT")
-        _, part = self._fs(f"{self.path}/CURRENT.part")
-        out = fs.create(part, True)
-        out.write(bytearray(version.encode()))
-        out.close()
-        fs.delete(p, False)
-        fs.rename(part, p)
+        self.store.commit(self.replacing(df))
 
     def append(self, df: DataFrame) -> None:
-        """Rows are added to the current version; the writer's commit shows them all at once."""
-        version = self._pointer()
-        if version is None:
-            return self.write(df)
-        df.select(*self.schema.fieldNames()).write.mode("append").parquet(f"{self.path}/{version}")
+        self.store.commit(self.adding(df))
 
     def truncate(self) -> None:
-        self.write(self.spark.createDataFrame([], self.schema))
+        self.store.commit({self.name: []})
 
     def upsert(self, new: DataFrame, keys: list[str]) -> None:
         self.write(upserted(self.read(), new, keys))

@@ -49,8 +49,10 @@ def stratified(population: DataFrame, size: int, seed: str, key: str = "entry_id
     return out.filter("__at <= __take").withColumn("sampling_weight", F.col("__n") / F.col("__take")).drop("__at", "__n", "__take")
 
 
-def random_sample(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
-    return df.orderBy(F.rand(seed)).limit(n)
+def random_sample(df: DataFrame, n: int, seed: str | None = None, key: str = "entry_id") -> DataFrame:
+    """`n` rows in random order; with a seed those whose seed|key has the least md5, so the same whenever it is drawn."""
+    order = (F.rand(),) if seed is None else (ids.sample_key(str(seed), F.col(key).cast("string")), F.col(key))
+    return df.orderBy(*order).limit(n)
 
 
 def top_per_key(df: DataFrame, key: str, k: int, *order: Column) -> DataFrame:

@@ -43,12 +43,12 @@ def tokens_of(word: Column) -> Column:
 def scored(words: DataFrame, frequencies: DataFrame, word: str = "word", token: str = "token", score: str = "zipf") -> DataFrame:
     """Words with `n_tokens` and `score`. A phrase of tokens with frequencies f scores 1 / sum(1 / f), on the logarithmic
     scale again; an unknown token makes it 0. This stands in for a phrase model that needs data which is not at hand."""
-    keyed = words.withColumn("__w", F.monotonically_increasing_id())
-    each = keyed.select("__w", F.explode(tokens_of(F.col(word))).alias(token))
+    each = words.select(F.col(word).alias("__w")).distinct().select("__w", F.explode(tokens_of(F.col("__w"))).alias(token))
     rates = each.join(frequencies.select(token, F.col(score).alias("__z")), token, "left")
     rates = rates.groupBy("__w").agg(F.count(F.lit(1)).alias("n_tokens"), F.count_if(F.col("__z").isNull()).alias("__none"), F.sum(F.pow(F.lit(10.0), -F.col("__z"))).alias("__inverse"))
     value = F.when(F.col("__none") > 0, F.lit(0.0)).otherwise(F.round(-F.log10("__inverse"), 6))
-    return keyed.join(rates.select("__w", "n_tokens", value.alias("score")), "__w", "left").drop("__w").fillna({"n_tokens": 0, "score": 0.0})
+    rates = rates.select("__w", "n_tokens", value.alias("score"))
+    return words.join(rates, words[word] == rates["__w"], "left").drop("__w").fillna({"n_tokens": 0, "score": 0.0})
 
 
 def selected(words: DataFrame, frequencies: DataFrame, min_zipf: float, phrase_min_zipf: float | None = None, word: str = "word") -> DataFrame:

@@ -33,6 +33,14 @@ def now() -> dt.datetime:
     return dt.datetime.now(dt.UTC)
 
 
+def resume_points(runs: DataFrame, checkpoints: DataFrame, stage: str, snapshot_id: str) -> DataFrame:
+    """Checkpoints of unfinished runs of a stage over a snapshot, which the run's stats or else its config name; newest first."""
+    open_ = runs.filter((F.col("stage") == stage) & F.col("status").isin("running", "failed"))
+    snapshot = F.coalesce(F.get_json_object("stats", "$.snapshot_id"), F.get_json_object("config", "$.snapshot_id"))
+    own = open_.withColumn("snapshot_id", snapshot).filter(F.col("snapshot_id") == snapshot_id).select("run_id", "snapshot_id", "started_at")
+    return checkpoints.join(own, "run_id").orderBy(F.desc("updated_at"), F.desc("started_at"), "run_id", "checkpoint_key")
+
+
 class Registry:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -90,15 +98,22 @@ class Registry:
         known.append(self._row("snapshots", snapshot_id=snapshot_id, source_name=source_name, archive_sha256=found.sha256, size=found.size, acquisition_mode=found.mode, compression=found.compression, path=found.path))
         return snapshot_id
 
+    def checkpointed(self, run_id: str, stage: str, key: str, payload: dict) -> dict[str, list[str]]:
+        """A change for a commit: the checkpoint is this now."""
+        table, keys = self.table("checkpoints"), ["run_id", "stage_name", "checkpoint_key"]
+        row = self._row("checkpoints", run_id=run_id, stage_name=stage, checkpoint_key=key, payload=json.dumps(payload), updated_at=now())
+        return table.replacing(merge.upserted(table.read(), row, keys))
+
+    def commit(self, *changes: dict[str, list[str]]) -> None:
+        """Changes of several tables, all at once."""
+        merge.Store(self.spark, self.path).commit({k: v for c in changes for k, v in c.items()})
+
     def checkpoint(self, run_id: str, stage: str, key: str, payload: dict) -> None:
-        self.table("checkpoints").upsert(self._row("checkpoints", run_id=run_id, stage_name=stage, checkpoint_key=key, payload=json.dumps(payload), updated_at=now()), ["run_id", "stage_name", "checkpoint_key"])
+        self.commit(self.checkpointed(run_id, stage, key, payload))
 
     def resumable(self, stage: str, snapshot_id: str) -> tuple[str, dict] | None:
         """(run_id, payload) of the newest checkpoint of an unfinished run of this snapshot."""
-        runs = self.table("runs").read().filter((F.col("stage") == stage) & F.col("status").isin("running", "failed"))
-        snapshot = F.coalesce(F.get_json_object("stats", "$.snapshot_id"), F.get_json_object("config", "$.snapshot_id"))
-        joined = self.table("checkpoints").read().join(runs.filter(snapshot == snapshot_id).select("run_id", "started_at"), "run_id")
-        row = joined.orderBy(F.desc("updated_at"), F.desc("started_at"), "run_id").first()
+        row = resume_points(self.table("runs").read(), self.table("checkpoints").read(), stage, snapshot_id).first()
         return (row["run_id"], json.loads(row["payload"])) if row else None
 
     def register_prompt(self, version: str, text: str, code: str, name: str) -> None:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import functools
 import json
+import math
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from quern.operators import audit, curate, export, generate, merge, validate
 from quern.plans.registry import Registry
 from quern.schemas import ENTRY, TRIAGE
+from quern.session import dropped, written
 from quern.sources import archive, jsonl, sqlite
 
 RELATIONS = "entry_id string, relation_type string, target_word string, target_lang_code string, source_scope string, payload string"
@@ -50,50 +53,73 @@ def counts(registry: Registry, snapshot_id: str) -> dict:
 
 
 @tracked("source.ingest")
-def ingest(registry: Registry, run_id: str, path: str, *, source_name: str = "local", resume: bool = True) -> dict:
-    """A JSONL file into raw rows and anomalies, from the line after the last one stored. Stored rows must be what the
-    checkpoint says; rows without a checkpoint are an error."""
+def ingest(registry: Registry, run_id: str, path: str, *, source_name: str = "local", resume: bool = True, chunk_lines: int = 1_000_000) -> dict:
+    """A JSONL file into raw rows and anomalies, from the line after the last one stored. Lines are judged once; each chunk of
+    them is one commit with its rows, anomalies and checkpoint, so a run that dies goes on after its last chunk. Stored rows
+    must be what the checkpoint says; rows without a checkpoint are an error."""
     found = archive.register(path)
     snapshot_id = registry.snapshot(source_name, found)
     registry.update_config(run_id, {"snapshot_id": snapshot_id})
     stored = counts(registry, snapshot_id)
+    open_run = registry.resumable("source.ingest", snapshot_id)
     done = registry.table("checkpoints").read().filter(F.col("checkpoint_key") == snapshot_id).orderBy(F.desc("updated_at")).first()
     if stored["last_line"] and not (resume and done):
         raise RuntimeError("the snapshot has rows but no checkpoint to resume from")
     if done and json.loads(done["payload"]) != stored:
         raise RuntimeError(f"the checkpoint says {done['payload']}, stored is {json.dumps(stored)}")
-    scanned = jsonl.scan(jsonl.numbered_lines(registry.spark, found.path).filter(F.col("source_line") > stored["last_line"]))
-    scanned = scanned.withColumn("run_id", F.lit(run_id)).withColumn("snapshot_id", F.lit(snapshot_id))
-    raw = registry.table("raw")
+    lines = jsonl.numbered_lines(registry.spark, found.path).filter(F.col("source_line") > stored["last_line"])
+    scanned = written(jsonl.scan(lines).withColumn("run_id", F.lit(run_id)).withColumn("snapshot_id", F.lit(snapshot_id)), "scanned")
+    raw, anomalies = registry.table("raw"), registry.table("anomalies")
     before = raw.read().agg(F.coalesce(F.max("id"), F.lit(0))).first()[0] - stored["last_line"]
-    raw.append(scanned.filter("kind = 'record'").withColumnRenamed("json_text", "payload").withColumn("id", F.col("source_line") + before))
-    registry.table("anomalies").append(scanned.filter("kind != 'record'").select("run_id", "snapshot_id", "source_line", "source_byte_offset", F.col("kind").alias("anomaly_type"), "detail", F.col("json_text").alias("raw_payload")))
-    now = counts(registry, snapshot_id)
-    registry.checkpoint(run_id, "source.ingest", snapshot_id, now)
-    return {"snapshot_id": snapshot_id, **now}
+    last_line = scanned.agg(F.max("source_line")).first()[0] or 0
+    for start in range(stored["last_line"], last_line, chunk_lines):
+        part = scanned.filter((F.col("source_line") > start) & (F.col("source_line") <= start + chunk_lines))
+        good, bad = F.col("kind") == "record", F.col("kind") != "record"
+        n_good, n_bad, last = part.agg(F.count_if(good), F.count_if(bad), F.max(F.struct("source_line", "source_byte_offset"))).first()
+        if not last:
+            continue
+        stored = {"rows": stored["rows"] + n_good, "anomalies": stored["anomalies"] + n_bad, "last_line": last[0], "last_offset": last[1] or 0}
+        records = part.filter(good).withColumnRenamed("json_text", "payload").withColumn("id", F.col("source_line") + before)
+        faults = part.filter(bad).select("run_id", "snapshot_id", "source_line", "source_byte_offset", F.col("kind").alias("anomaly_type"), "detail", F.col("json_text").alias("raw_payload"))
+        registry.commit(raw.adding(records), anomalies.adding(faults), registry.checkpointed(run_id, "source.ingest", snapshot_id, stored))
+    dropped(scanned)
+    return {"snapshot_id": snapshot_id, **({"resumed_run_id": open_run[0]} if open_run else {}), **counts(registry, snapshot_id)}
 
 
 @tracked("entries.assemble")
 def assemble(registry: Registry, run_id: str, *, languages: list[str] | None = None, selected: DataFrame | None = None, limit_groups: int | None = None, replace: bool = False) -> dict:
-    """Raw rows into entries, relations and triage: upserted, replaced by entry, replaced by (lang_code, word)."""
-    made = curate.curate(registry.table("raw").read(), languages, selected, limit_groups)
+    """Raw rows into entries, relations and triage: upserted, replaced by entry, replaced by (lang_code, word); one commit.
+    With `replace` all old rows go, generated ones too."""
+    made = curate.curate(registry.table("raw").read(), languages, selected, limit_groups, once=True)
     entries, relations, triage = registry.table("entries", ENTRY), registry.table("relations", RELATIONS), registry.table("triage", TRIAGE)
-    if replace:
-        for t in (entries, relations, triage, registry.table("enrichments")):
-            t.truncate()
-    entries.upsert(made.entries, ["entry_id"])
-    relations.write(merge.replaced(relations.read(), made.entries, made.relations, ["entry_id"]))
+    old = (lambda t: t.read().limit(0)) if replace else (lambda t: t.read())
     seen = made.entries.select("lang_code", F.col("normalized_word").alias("word")).unionByName(made.triage.select("lang_code", "word"))
-    triage.write(merge.replaced(triage.read(), seen, made.triage, ["lang_code", "word"]))
+    registry.commit(
+        {"enrichments": []} if replace else {},
+        entries.replacing(merge.upserted(old(entries), made.entries, ["entry_id"])),
+        relations.replacing(merge.replaced(old(relations), made.entries, made.relations, ["entry_id"])),
+        triage.replacing(merge.replaced(old(triage), seen, made.triage, ["lang_code", "word"])),
+    )
     return {"entries": entries.read().count(), "relations": relations.read().count(), "triage": triage.read().count()}
 
 
+def sliced(rows: DataFrame, key: str, size: int, label: str) -> Iterator[DataFrame]:
+    """`rows` in parts of about `size`, dealt by the hash of `key`."""
+    every = written(rows, label)
+    n = max(1, math.ceil(every.count() / size))
+    for k in range(n):
+        yield every.filter(F.pmod(F.xxhash64(key), F.lit(n)) == k) if n > 1 else every
+    dropped(every)
+
+
 @tracked("definitions.generate")
-def generate_definitions(registry: Registry, run_id: str, bundle: generate.Bundle, generator: generate.Generator = generate.fake_generator, *, limit: int | None = None, recompute: bool = False, **options) -> dict:
+def generate_definitions(registry: Registry, run_id: str, bundle: generate.Bundle, generator: generate.Generator = generate.fake_generator, *, limit: int | None = None, recompute: bool = False, commit_rows: int = 1000, **options) -> dict:
+    """Responses for what has none yet; about `commit_rows` of them are one commit, which a job that dies later leaves."""
     registry.register_prompt(bundle.version, bundle.text("entry"), bundle.language_code, bundle.language_name)
     log = registry.table("enrichments")
-    entries = registry.table("entries", ENTRY).read()
-    log.append(generate.enriched(entries, None if recompute else log.read(), bundle, run_id, generator, limit=limit, **options))
+    asked = generate.wanted(registry.table("entries", ENTRY).read(), None if recompute else log.read(), bundle, limit)
+    for part in sliced(asked, "entry_id", commit_rows, "asked"):
+        log.append(generate.log_rows(part, bundle, run_id, generator, **options))
     own = log.read().filter(F.col("run_id") == run_id)
     return {"succeeded": own.filter("status = 'succeeded'").count(), "failed": own.filter("status = 'failed'").count()}
 
@@ -109,10 +135,19 @@ def _documents(registry: Registry, bundles: list[generate.Bundle]) -> export.Exp
 
 
 @tracked("distribution.export")
-def export_distribution(registry: Registry, run_id: str, bundles: list[generate.Bundle], path: str) -> dict:
+def export_distribution(registry: Registry, run_id: str, bundles: list[generate.Bundle], path: str, *, parts: bool = False) -> dict:
+    """One ordered file on the driver's disk, or with `parts` a folder of files in order, written by executors."""
     made = _documents(registry, bundles)
-    done = export.write_jsonl(made.documents, path)
-    stats = {"documents": done.rows, "skipped_unenriched": made.skipped.count(), "definition_run_ids": [r[0] for r in made.documents.select("definition_run_id").distinct().orderBy("definition_run_id").collect()]}
+    documents = written(made.documents, "documents")
+    stats = {"skipped_unenriched": made.skipped.count(), "definition_run_ids": [r[0] for r in documents.select("definition_run_id").distinct().orderBy("definition_run_id").collect()]}
+    if parts:
+        export.write_jsonl_parts(documents, path)
+        stats["documents"] = documents.count()
+        registry.artifact(run_id, "distribution_jsonl_parts", path, None, stats["documents"], stats)
+        return stats
+    done = export.write_jsonl(documents, path)
+    stats["documents"] = done.rows
+    dropped(documents)
     registry.artifact(run_id, "distribution_jsonl", path, done.sha256, done.rows, stats)
     return stats | {"sha256": done.sha256}
 
@@ -120,7 +155,9 @@ def export_distribution(registry: Registry, run_id: str, bundles: list[generate.
 @tracked("distribution.sqlite_export")
 def export_sqlite(registry: Registry, run_id: str, bundles: list[generate.Bundle], path: str) -> dict:
     made = _documents(registry, bundles)
-    n = sqlite.write_sqlite(made.documents, path, {"schema_version": validate.DOCUMENT_VERSION, "run_id": run_id})
+    documents = written(made.documents, "documents")  # nine tables are made of them
+    n = sqlite.write_sqlite(documents, path, {"schema_version": validate.DOCUMENT_VERSION, "run_id": run_id})
+    dropped(documents)
     stats = {"documents": n, "skipped_unenriched": made.skipped.count()}
     registry.artifact(run_id, "distribution_sqlite", path, archive.fingerprint(path), n, stats)
     return stats
@@ -135,19 +172,19 @@ def export_audit(registry: Registry, run_id: str, path: str, *, include_missing:
 
 
 @tracked("definitions.review")
-def review(registry: Registry, run_id: str, generator: generate.Generator = generate.fake_generator, *, size: int = 1000, seed: str = "review-v1", version: str = "review_v1", model: str = "fake", workers: int | None = None) -> dict:
-    """Reviews of a stratified sample, but those there are already."""
+def review(registry: Registry, run_id: str, generator: generate.Generator = generate.fake_generator, *, size: int = 1000, seed: str = "review-v1", version: str = "review_v1", model: str = "fake", version_like: str | None = None,
+           language: str = "English", workers: int | None = None, commit_rows: int = 1000) -> dict:
+    """Reviews of a stratified sample, but those there are already, of responses to prompts like `version_like`; about
+    `commit_rows` of them are one commit. Those that fail are counted and stay to be done."""
     reviews = registry.table("reviews")
-    population = audit.review_population(registry.table("entries", ENTRY).read(), registry.table("enrichments").read())
-    todo = audit.to_review(population, reviews.read(), size, seed, version)
-    asked = audit.review_requests(todo)
-    asked = asked.repartition(workers) if workers else asked
+    population = audit.review_population(registry.table("entries", ENTRY).read(), registry.table("enrichments").read(), version_like)
+    bundle = generate.Bundle(version, "", language)
 
     def judge(batches):
         import pyarrow as pa
 
         for batch in batches:
-            call = generate.Attempts(generator, generate.Bundle(version, "", ""))
+            call = generate.Attempts(generator, bundle)
             answers = []
             for request in batch.column("request").to_pylist():
                 try:
@@ -156,14 +193,25 @@ def review(registry: Registry, run_id: str, generator: generate.Generator = gene
                     answers.append(None)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(answers, pa.string())], names=[*batch.schema.names, "answer"])
 
-    judged = asked.mapInArrow(judge, asked.withColumn("answer", F.lit("")).schema)
     json_of = lambda p: F.get_json_object("answer", p)
-    rows = judged.filter("answer IS NOT NULL").select(
-        "entry_id", F.col("input_hash").alias("enrichment_input_hash"), F.lit(version).alias("review_prompt_version"), F.lit(model).alias("judge_model"), F.lit(seed).alias("sample_seed"), "stratum", "sampling_weight",
-        json_of("$.verdict").alias("verdict"), json_of("$.scores").alias("scores"), json_of("$.issues").alias("issues"), F.lit(run_id).alias("run_id"),
-    )
-    reviews.append(rows)
-    return {"reviews": reviews.read().filter(F.col("run_id") == run_id).count()}
+    done = failed = 0
+    for part in sliced(audit.review_requests(audit.to_review(population, reviews.read(), size, seed, version)), "entry_id", commit_rows, "to-review"):
+        part = part.repartition(workers) if workers else part
+        judged = written(part.mapInArrow(judge, part.withColumn("answer", F.lit("")).schema), "judged")
+        reviews.append(judged.filter("answer IS NOT NULL").select(
+            "entry_id", F.col("input_hash").alias("enrichment_input_hash"), F.lit(version).alias("review_prompt_version"), F.lit(model).alias("judge_model"), F.lit(seed).alias("sample_seed"), "stratum", "sampling_weight",
+            json_of("$.verdict").alias("verdict"), json_of("$.scores").alias("scores"), json_of("$.issues").alias("issues"), F.lit(run_id).alias("run_id"),
+        ))
+        n, n_failed = judged.agg(F.count(F.lit(1)), F.count_if(F.col("answer").isNull())).first()
+        done, failed = done + n - n_failed, failed + n_failed
+        dropped(judged)
+    return {"reviews": done, "failed": failed}
+
+
+def review_reports(registry: Registry, version: str = "review_v1", seed: str = "review-v1") -> dict[str, DataFrame]:
+    """Read-only reports over the reviews by a prompt of a sample: verdicts with weighted shares, issues by kind, strata."""
+    rows = registry.table("reviews").read().filter((F.col("review_prompt_version") == version) & (F.col("sample_seed") == seed))
+    return {"verdicts": audit.verdict_summary(rows, *validate.SCORE_FIELDS), "issues": audit.issue_histogram(rows), "strata": audit.stratum_report(rows)}
 
 
 def audit_definitions(registry: Registry, sample: int | None = None, *, version_like: str = "%", bucket_size: int = 1000) -> dict[str, DataFrame]:
