@@ -7,14 +7,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions import ids
 from quern.functions.canonical import with_canonical
 from quern.operators import audit, classify, curate, export, generate, latest, merge, nested, packing, sampling, selection
-
-from quern.session import table
+from quern.plans import registry
+from quern.session import table, written
 from quern.sources import jsonl
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,25 +71,16 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT event_id // 1000 AS bucket, CAST(count(*) AS BIGINT) AS n_rows,
-       CAST(count(*) FILTER (WHERE event_type = 'error') AS BIGINT) AS n_failed,
-       CAST(sum(CAST(props->>'$.k' AS INTEGER)) AS BIGINT) AS k_sum,
-       round(avg(CAST(props->>'$.k' AS INTEGER)), 1) AS k_avg
-FROM events GROUP BY 1
+WITH e AS (SELECT event_id, event_type, CAST(props->>'$.k' AS INTEGER) AS k FROM events)
+SELECT event_id // 1000 AS bucket, CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (WHERE event_type = 'error') AS BIGINT) AS failed, CAST(sum(event_id % 3) AS BIGINT) AS retries,
+       CAST(count(*) FILTER (WHERE k % 2 = 0) AS BIGINT) AS sharded, round(avg(k), 1) AS avg_completion_tokens
+FROM e GROUP BY 1
 """)
 def bucket_health(spark, sf_dir):
-    """Counts, failures and JSON sums by integer bucket of the id."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    return (
-        table(spark, sf_dir, "events")
-        .groupBy(F.expr("event_id div 1000").alias("bucket"))
-        .agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.count_if(F.col("event_type") == "error").alias("n_failed"),
-            F.sum(k).alias("k_sum"),
-            F.round(F.avg(k), 1).alias("k_avg"),
-        )
-    )
+    """Counts, failures and JSON fields by integer bucket of the id."""
+    k = F.get_json_object("props", "$.k")
+    meta = F.concat(F.lit('{"sharded": '), (k.cast("int") % 2 == 0).cast("string"), F.lit(', "completion_tokens": '), k, F.lit("}"))
+    return audit.bucket_health(enrich(spark, sf_dir).withColumn("generation_metadata", meta))
 
 
 @query(f"""
@@ -160,38 +151,41 @@ def pending_count(spark, sf_dir):
     return latest.pending(table(spark, sf_dir, "orders").select("o_orderkey"), done, ["o_orderkey"]).agg(F.count(F.lit(1)).alias("pending"))
 
 
-LATEST_ORDER = "l AS (SELECT DISTINCT ON (o_custkey) o_custkey, o_orderkey, o_totalprice FROM orders ORDER BY o_custkey, o_orderdate DESC, o_orderkey DESC)"
+LATEST = f"{ENRICH}, l AS (SELECT DISTINCT ON (entry_id) entry_id, enrichment_id, model FROM enrich WHERE status = 'succeeded' ORDER BY entry_id, created_at DESC, enrichment_id DESC)"
 
 
-def _latest_orders(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
-    return latest.latest_per_key(orders, ["o_custkey"], F.desc("o_orderdate"), F.desc("o_orderkey")).select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice")
+def _latest(spark, sf_dir, include_missing):
+    entries = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("entry_id"), "c_name")
+    return latest.joined_latest(entries, enrich(spark, sf_dir).withColumn("prompt_version", F.lit("v1")), include_missing).select("entry_id", "c_name", F.col("enrichment_id").cast("string").alias("enrichment_id"), "model").orderBy("entry_id")
 
 
-@query(f"WITH {LATEST_ORDER} SELECT c_custkey, c_name, o_orderkey, o_totalprice FROM customer LEFT JOIN l ON c_custkey = o_custkey ORDER BY c_custkey")
+@query(f"WITH {LATEST} SELECT c_custkey AS entry_id, c_name, CAST(enrichment_id AS VARCHAR) AS enrichment_id, model FROM customer LEFT JOIN l ON c_custkey = entry_id ORDER BY 1")
 def export_left(spark, sf_dir):
-    """Entries with their newest row, kept without one."""
-    return table(spark, sf_dir, "customer").join(_latest_orders(spark, sf_dir), "c_custkey", "left").select("c_custkey", "c_name", "o_orderkey", "o_totalprice").orderBy("c_custkey")
+    """Entries with their newest enrichment, kept without one."""
+    return _latest(spark, sf_dir, True)
 
 
-@query(f"WITH {LATEST_ORDER} SELECT c_custkey, c_name, o_orderkey, o_totalprice FROM customer JOIN l ON c_custkey = o_custkey ORDER BY c_custkey")
+@query(f"WITH {LATEST} SELECT c_custkey AS entry_id, c_name, CAST(enrichment_id AS VARCHAR) AS enrichment_id, model FROM customer JOIN l ON c_custkey = entry_id ORDER BY 1")
 def export_inner(spark, sf_dir):
-    """Entries with their newest row, if there is one."""
-    return table(spark, sf_dir, "customer").join(_latest_orders(spark, sf_dir), "c_custkey").select("c_custkey", "c_name", "o_orderkey", "o_totalprice").orderBy("c_custkey")
+    """Entries with their newest enrichment, if there is one."""
+    return _latest(spark, sf_dir, False)
 
 
 @query("""
-SELECT r.event_id AS run_id, c.event_id AS checkpoint_id, COALESCE(c.props->>'$.none', r.props->>'$.k') AS snapshot
-FROM events c JOIN events r ON c.user_id = r.user_id WHERE r.event_type = 'purchase' AND c.event_type = 'error' ORDER BY c.ts DESC, r.ts DESC, c.event_id, r.event_id LIMIT 5
+WITH r AS (SELECT o_orderkey, o_orderdate, o_orderstatus, CAST(o_custkey % 5 AS VARCHAR) AS snapshot_id FROM orders)
+SELECT CAST(o_orderkey AS VARCHAR) AS run_id, CAST(l_linenumber AS VARCHAR) AS checkpoint_key, snapshot_id FROM lineitem JOIN r ON l_orderkey = o_orderkey WHERE o_orderstatus IN ('F', 'O') AND snapshot_id = '3'
+ORDER BY l_shipdate DESC, o_orderdate DESC, 1, 2
 """)
 def checkpoint_join(spark, sf_dir):
-    """Newest checkpoints with their runs, a JSON field from either."""
-    e = table(spark, sf_dir, "events")
-    runs = e.filter("event_type = 'purchase'").select("user_id", F.col("event_id").alias("run_id"), F.col("ts").alias("started"), F.col("props").alias("config"))
-    points = e.filter("event_type = 'error'").select("user_id", F.col("event_id").alias("checkpoint_id"), F.col("ts").alias("updated"), F.col("props").alias("stats"))
-    snapshot = F.coalesce(F.get_json_object("stats", "$.none"), F.get_json_object("config", "$.k"))
-    out = points.join(runs, "user_id").orderBy(F.desc("updated"), F.desc("started"), "checkpoint_id", "run_id").limit(5)
-    return out.select("run_id", "checkpoint_id", snapshot.alias("snapshot"))
+    """Checkpoints of unfinished runs of a snapshot, which stats or else config names, newest first."""
+    snapshot = F.concat(F.lit('{"snapshot_id": "'), (F.col("o_custkey") % 5).cast("string"), F.lit('"}'))
+    odd = F.col("o_orderkey") % 2 == 1
+    runs = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("run_id"), F.lit("source.ingest").alias("stage"), F.when(F.col("o_orderstatus") == "F", "failed").when(F.col("o_orderstatus") == "O", "running").otherwise("succeeded").alias("status"),
+        F.when(odd, snapshot).otherwise('{"rows": 1}').alias("stats"), F.when(odd, '{"snapshot_id": "none"}').otherwise(snapshot).alias("config"), F.col("o_orderdate").alias("started_at"),
+    )
+    points = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("run_id"), F.col("l_linenumber").cast("string").alias("checkpoint_key"), F.col("l_shipdate").alias("updated_at"))
+    return registry.resume_points(runs, points, "source.ingest", "3").select("run_id", "checkpoint_key", "snapshot_id")
 
 
 # --- curation
@@ -214,13 +208,21 @@ def classify_pos(spark, sf_dir):
 
 
 @query(f"""
-WITH {RAW}, s AS (SELECT id, list_transform(glosses, lambda g: struct_pack(rel := length(g) % 2 = 0, derived := regexp_matches(lower(g), 'the|die'))) AS ss FROM raw)
-SELECT id, CASE WHEN len(ss) > 0 AND list_bool_and(list_transform(ss, lambda s: s.rel AND s.derived)) THEN 'form_of' END AS dominant FROM s
+WITH {RAW}, s AS (SELECT id, unnest(generate_series(1, len(glosses))) AS i, unnest(glosses) AS g FROM raw),
+k AS (SELECT id, length(g) % 2 = 0 AS form, length(g) % 3 = 0 AS alt, length(g) % 5 = 0 OR length(g) < 90 AS derived FROM s)
+SELECT id, CASE WHEN bool_and((form OR alt) AND derived) THEN CASE WHEN bool_or(form) THEN 'form_of' WHEN bool_or(alt) THEN 'alternative_of' END END AS dominant FROM k GROUP BY 1
 """)
 def relation_dominant(spark, sf_dir):
-    """Documents all of whose lines are of a kind (P2): a line of even length stands for a relation, a word for a marker."""
-    lines = F.transform("glosses", lambda g: F.struct((F.char_length(g) % 2 == 0).alias("rel"), F.lower(g).rlike("the|die").alias("derived")))
-    return raw(spark, sf_dir).select("id", F.when((F.size("glosses") > 0) & F.forall(lines, lambda s: s["rel"] & s["derived"]), "form_of").alias("dominant"))
+    """Records all of whose senses stand for other words (P2): a line is a sense, whose relations and gloss its length says."""
+    some = lambda held: F.when(held, F.array(F.struct(F.lit("x").alias("word"), F.lit(None).cast("string").alias("lang_code")))).otherwise(F.array().cast("array<struct<word:string,lang_code:string>>"))
+    none = F.array().cast("array<string>")
+
+    def sense(g):
+        n = F.char_length(g)
+        glosses = F.when(n % 5 == 0, none).when(n < 90, F.array(F.concat(F.lit("Plural of "), g))).otherwise(F.array(F.lit("a thing")))
+        return F.struct(glosses.alias("glosses"), none.alias("raw_glosses"), some(n % 2 == 0).alias("form_of"), some(n % 3 == 0).alias("alt_of"))
+
+    return raw(spark, sf_dir).select("id", classify.dominant_relation(F.struct(F.transform("glosses", sense).alias("senses"))).alias("dominant"))
 
 
 @query(f"""
@@ -273,13 +275,15 @@ def pos_groups(spark, sf_dir):
 
 
 @query("""
-SELECT l_orderkey, CAST(count(*) AS BIGINT) AS n, string_agg(DISTINCT CAST(l_suppkey AS VARCHAR), ',' ORDER BY CAST(l_suppkey AS VARCHAR)) AS supp_ids, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS flags
+SELECT l_orderkey, CAST(count(*) AS INTEGER) AS raw_record_count, string_agg(DISTINCT CAST(l_suppkey AS VARCHAR), ',' ORDER BY CAST(l_suppkey AS VARCHAR)) AS snapshots, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS runs
 FROM lineitem GROUP BY 1
 """)
 def source_summary(spark, sf_dir):
-    """Sorted distinct ids of a group."""
-    distinct = lambda c: F.array_join(F.array_sort(F.collect_set(F.col(c).cast("string"))), ",")
-    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), distinct("l_suppkey").alias("supp_ids"), distinct("l_returnflag").alias("flags"))
+    """Count and sorted distinct ids of the rows of a group."""
+    ref = F.struct(F.col("l_suppkey").cast("string").alias("snapshot_id"), F.when(F.col("l_returnflag") != "", F.col("l_returnflag")).alias("run_id"))
+    groups = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(F.col("l_linenumber").alias("id"), ref.alias("ref")))).alias("rows"))
+    shown = groups.select("l_orderkey", curate.source_summary(F.col("rows")).alias("s"))
+    return shown.select("l_orderkey", "s.raw_record_count", F.array_join("s.raw_snapshot_ids", ",").alias("snapshots"), F.array_join("s.raw_run_ids", ",").alias("runs"))
 
 
 @query(f"""
@@ -287,18 +291,21 @@ WITH {TOKENS}, f AS (SELECT doc_id, token, min(pos) AS p FROM tokens GROUP BY 1,
 SELECT doc_id, CAST(count(*) AS BIGINT) AS n, md5(string_agg(token, ' ' ORDER BY p)) AS kept_md5 FROM f GROUP BY 1
 """)
 def dedupe_first(spark, sf_dir):
-    """Each token of a text once, in order of first appearance."""
-    return table(spark, sf_dir, "documents").select("doc_id", F.array_distinct(F.split("text", " ")).alias("t")).select("doc_id", F.size("t").cast("long").alias("n"), F.md5(F.array_join("t", " ")).alias("kept_md5"))
+    """Each token of a text once, in order of first appearance."""
+    return table(spark, sf_dir, "documents").select("doc_id", nested.dedupe(F.split("text", " "), lambda t: t).alias("t")).select("doc_id", F.size("t").cast("long").alias("n"), F.md5(F.array_join("t", " ")).alias("kept_md5"))
 
 
 @query("""
-WITH r AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, row_number() OVER (PARTITION BY l_partkey, l_returnflag ORDER BY l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice, l_shipdate, l_discount, l_tax) AS n FROM lineitem)
-SELECT l_partkey, l_orderkey, l_linenumber, l_suppkey, CAST(n AS INTEGER) AS n FROM r WHERE n <= 24
+WITH r AS (SELECT l_suppkey, l_returnflag, l_orderkey, l_linenumber, l_partkey, row_number() OVER (PARTITION BY l_suppkey, l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey) AS n FROM lineitem)
+SELECT l_suppkey, CAST(count(*) AS INTEGER) AS n, md5(string_agg(l_returnflag || l_orderkey || '-' || l_linenumber || '-' || l_partkey, ',' ORDER BY l_orderkey, l_linenumber, l_partkey, l_returnflag)) AS kept_md5 FROM r WHERE n <= 24 GROUP BY 1
 """)
 def cap_per_type(spark, sf_dir):
-    """At most 24 of each type."""
-    at = F.row_number().over(Window.partitionBy("l_partkey", "l_returnflag").orderBy("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate", "l_discount", "l_tax"))
-    return table(spark, sf_dir, "lineitem").withColumn("n", at).filter(F.col("n") <= nested.MAX_RELATIONS_PER_TYPE).select("l_partkey", "l_orderkey", "l_linenumber", "l_suppkey", "n")
+    """At most 24 of each type, order kept."""
+    item = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
+    groups = table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    kept = groups.select("l_suppkey", nested.cap_per_key(F.col("items"), lambda x: x["l_returnflag"], nested.MAX_RELATIONS_PER_TYPE).alias("k"))
+    shown = F.transform("k", lambda x: F.concat(x["l_returnflag"], F.concat_ws("-", x["l_orderkey"].cast("string"), x["l_linenumber"].cast("string"), x["l_partkey"].cast("string"))))
+    return kept.select("l_suppkey", F.size("k").alias("n"), F.md5(F.array_join(shown, ",")).alias("kept_md5"))
 
 
 @query("""
@@ -319,20 +326,30 @@ SELECT doc_id, CAST(sense_index AS INTEGER) AS sense_index FROM s WHERE length(g
 """)
 def missing_gloss(spark, sf_dir):
     """Places, from 1, of senses without a gloss; short lines stand for those."""
-    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "gloss"))
-    return lines.filter(F.char_length("gloss") < 20).select("doc_id", (F.col("i") + 1).alias("sense_index"))
+    none = F.array().cast("array<string>")
+    senses = F.transform(F.split("text", "\n"), lambda g: F.struct(F.when(F.char_length(g) < 20, none).otherwise(F.array(g)).alias("glosses"), none.alias("raw_glosses")))
+    found = nested.senses_without_gloss(F.struct(senses.alias("senses")))
+    return table(spark, sf_dir, "documents").select("doc_id", F.explode(found).alias("sense_index"))
 
 
-@query(f"WITH {RAW} SELECT lang_code, lower(word) AS normalized_word, CAST(sum(len(glosses)) AS BIGINT) AS sense_count FROM raw GROUP BY 1, 2")
-def sense_count(spark, sf_dir):
-    """Array lengths summed over a group."""
-    groups = raw(spark, sf_dir).groupBy("lang_code", F.lower("word").alias("normalized_word")).agg(F.collect_list(F.size("glosses")).alias("sizes"))
-    return groups.select("lang_code", "normalized_word", F.aggregate("sizes", F.lit(0).cast("long"), lambda a, b: a + b).alias("sense_count"))
+@query(f"""
+WITH {ENRICH}, l AS (SELECT DISTINCT entry_id FROM enrich WHERE status = 'succeeded' AND model LIKE 'v%'),
+n AS (SELECT doc_id, lang, len(string_split(text, chr(10))) + len(string_split(text, ' ')) AS n FROM documents)
+SELECT doc_id AS entry_id, CAST(n AS INTEGER) AS sense_count, (CASE WHEN lang = 'en' THEN 'word' ELSE 'phrase' END) || '|' || (CASE WHEN n <= 1 THEN '1' WHEN n <= 9 THEN '2-9' WHEN n <= 28 THEN '10-28' ELSE 'sharded' END) AS stratum
+FROM n JOIN l ON entry_id = doc_id
+""")
+def review_population(spark, sf_dir):
+    """Entries with a newest enrichment, their senses counted over all groups, and their stratum."""
+    groups = F.array(F.struct(F.split("text", "\n").alias("senses")), F.struct(F.split("text", " ").alias("senses")))
+    word = F.when(F.col("lang") == "en", "plainword").otherwise("two words")
+    entries = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("entry_id"), word.alias("word"), F.array().cast("array<string>").alias("entry_flags"), groups.alias("pos_groups"))
+    log = enrich(spark, sf_dir).withColumns({"prompt_version": F.col("model"), "response_payload": F.col("props")})
+    return audit.review_population(entries, log, version_like="v%").select("entry_id", "sense_count", "stratum")
 
 
 @query("SELECT doc_id, sha256(text) AS text_sha256, md5('s1|' || doc_id) AS sample_key, substr(sha1(doc_id || '|' || lang || '|' || source), 1, 16) AS order_key FROM documents")
 def content_hash(spark, sf_dir):
-    """Hashes of content and of keys."""
+    """Hashes of content and of keys."""
     return table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("text_sha256"), ids.sample_key("s1", F.col("doc_id").cast("string")).alias("sample_key"), ids.order_key(F.col("doc_id"), F.col("lang"), F.col("source")).alias("order_key"))
 
 
@@ -377,7 +394,7 @@ def stratified_sample(spark, sf_dir):
 @query("SELECT doc_id, md5('7|' || doc_id) AS k FROM documents ORDER BY k LIMIT 50")
 def seeded_sample(spark, sf_dir):
     """A random sample that can be repeated (W4): the least hashes of seed and key."""
-    return table(spark, sf_dir, "documents").select("doc_id", ids.sample_key("7", F.col("doc_id").cast("string")).alias("k")).orderBy("k").limit(50)
+    return sampling.random_sample(table(spark, sf_dir, "documents").select("doc_id"), 50, "7", "doc_id").select("doc_id", ids.sample_key("7", F.col("doc_id").cast("string")).alias("k"))
 
 
 @query("""
@@ -553,17 +570,6 @@ def chunk_plan(spark, sf_dir):
     return groups.select("o_custkey", F.array_join(packing.chunk_of_each(F.transform("rows", lambda r: r["n"]), 12).cast("array<string>"), ",").alias("chunks"))
 
 
-@query("""
-WITH l AS (SELECT doc_id, unnest(generate_series(1, len(g))) AS pos_group_index, unnest(g) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS g FROM documents))
-SELECT doc_id, CAST(pos_group_index AS INTEGER) AS pos_group_index, CAST(unnest(generate_series(1, len(t))) AS INTEGER) AS form_index, unnest(t) AS text FROM (SELECT doc_id, pos_group_index, string_split(line, ' ') AS t FROM l)
-""")
-def shred_children(spark, sf_dir):
-    """Nested arrays as rows with indexes from 1."""
-    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("g", "line"))
-    forms = lines.select("doc_id", (F.col("g") + 1).alias("pos_group_index"), F.posexplode(F.split("line", " ")).alias("f", "text"))
-    return forms.select("doc_id", "pos_group_index", (F.col("f") + 1).alias("form_index"), "text")
-
-
 @query("""
 WITH f AS (SELECT p_partkey, unnest(string_split(lower(p_type), ' ')) AS tag, p_name FROM part)
 SELECT p_partkey, p_name AS text, string_agg(DISTINCT tag, ',' ORDER BY tag) AS tags FROM f GROUP BY 1, 2 HAVING bool_or(tag IN ('plural','comparative','superlative','past','participle','present','third-person','singular')) OR p_partkey % 3 = 0
@@ -647,14 +653,38 @@ def triage_items(spark, sf_dir):
     return found.select("lang_code", "word", "reason_code", "severity", "suggested_action", "payload.pos", F.col("payload.sense_index").cast("string").alias("sense_index"))
 
 
+NUMBERED = f"""{KEPT}, senses AS (SELECT lang_code, w, pos, ety, gloss, min(struct_pack(id := id, i := i)) AS f FROM lines WHERE gloss <> '' GROUP BY ALL),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang_code, w, pos, ety ORDER BY f.id, f.i) AS n FROM senses),
+ety_at AS (SELECT lang_code, w, ety, 'et' || row_number() OVER (PARTITION BY lang_code, w ORDER BY min(id)) AS et FROM lines GROUP BY 1, 2, 3),
+held AS (SELECT lang_code, w, pos, et, row_number() OVER (PARTITION BY lang_code, w ORDER BY pos, et) AS g, string_agg('s' || n || '=' || gloss, '|' ORDER BY n) AS shown
+  FROM placed JOIN ety_at USING (lang_code, w, ety) GROUP BY 1, 2, 3, 4)"""
+
+
+def _made(spark, sf_dir):
+    """Entries through a stand-in generator, which repeats the gloss, into documents."""
+    bundle = generate.Bundle("v1", "zh-Hans", "Chinese (Simplified)")
+    entries = written(_curated(spark, sf_dir).entries, "catalog-entries")
+    log = written(generate.enriched(entries, None, bundle, "run"), "catalog-log")
+    return export.distribution(entries, log, [bundle]).documents
+
+
 @query(f"""
-WITH {KEPT} SELECT entry_id, CASE WHEN proverb THEN 'proverb' WHEN affix THEN 'affix' WHEN all_names THEN 'proper_name' ELSE 'standard' END AS entry_type, with_senses AS groups, n_etymologies AS etymologies
-FROM ids JOIN sized USING (lang_code, w) WHERE with_senses > 0
+WITH {NUMBERED}, all_of AS (SELECT lang_code, w, md5(string_agg(pos || ':' || et || ':' || shown, '#' ORDER BY pos, et)) AS groups_md5, count(*) AS n FROM held GROUP BY 1, 2)
+SELECT entry_id, word AS headword, CASE WHEN proverb THEN 'proverb' WHEN affix THEN 'affix' WHEN all_names THEN 'proper_name' ELSE 'standard' END AS entry_type, groups_md5, CAST(n AS INTEGER) AS groups, n_etymologies AS etymologies
+FROM ids JOIN sized USING (lang_code, w) JOIN all_of USING (lang_code, w)
 """)
 def distribution_docs(spark, sf_dir):
-    """Entries through a stand-in generator into documents."""
-    bundle = generate.Bundle("v1", "zh-Hans", "Chinese (Simplified)")
-    entries = _curated(spark, sf_dir).entries
-    log = generate.enriched(entries, None, bundle, "run").withColumn("created_at", F.lit(None).cast("timestamp"))
-    made = export.distribution(entries, log, [bundle]).documents
-    return made.select("entry_id", "document.entry_type", F.size("document.pos_groups").alias("groups"), F.size("document.etymologies").alias("etymologies"))
+    """Entries through a stand-in generator into documents: groups in order with the senses joined by id."""
+    d = _made(spark, sf_dir).select("document.*")
+    sense = lambda m: F.concat(m["sense_id"], F.lit("="), m["short_gloss"])
+    shown = F.transform("pos_groups", lambda g: F.concat_ws(":", g["pos"], g["etymology_id"], F.array_join(F.transform(g["meanings"], sense), "|")))
+    return d.select("entry_id", "headword", "entry_type", F.md5(F.array_join(shown, "#")).alias("groups_md5"), F.size("pos_groups").alias("groups"), F.size("etymologies").alias("etymologies"))
+
+
+@query(f"""
+WITH {NUMBERED} SELECT entry_id, CAST(g AS INTEGER) AS pos_group_index, 's' || n AS sense_id, CAST(n AS INTEGER) AS meaning_index, CASE WHEN n_senses > 28 AND g = 1 AND n = 1 THEN 'core' ELSE 'common' END AS priority, gloss AS short_gloss
+FROM sized JOIN placed USING (lang_code, w) JOIN ety_at USING (lang_code, w, ety) JOIN held USING (lang_code, w, pos, et) JOIN ids USING (lang_code, w)
+""")
+def shred_children(spark, sf_dir):
+    """Documents as rows of tables, indexes from 1; of entries over the sharding threshold the overview's sense is core."""
+    return export.shredded(_made(spark, sf_dir))["meanings"].select("entry_id", "pos_group_index", "sense_id", "meaning_index", "priority", "short_gloss")

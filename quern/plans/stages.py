@@ -197,7 +197,7 @@ def review(registry: Registry, run_id: str, generator: generate.Generator = gene
     done = failed = 0
     for part in sliced(audit.review_requests(audit.to_review(population, reviews.read(), size, seed, version)), "entry_id", commit_rows, "to-review"):
         part = part.repartition(workers) if workers else part
-        judged = written(part.mapInArrow(judge, part.withColumn("answer", F.lit("")).schema), "judged")
+        judged = written(part.mapInArrow(judge, part.withColumn("answer", F.lit(None).cast("string")).schema), "judged")
         reviews.append(judged.filter("answer IS NOT NULL").select(
             "entry_id", F.col("input_hash").alias("enrichment_input_hash"), F.lit(version).alias("review_prompt_version"), F.lit(model).alias("judge_model"), F.lit(seed).alias("sample_seed"), "stratum", "sampling_weight",
             json_of("$.verdict").alias("verdict"), json_of("$.scores").alias("scores"), json_of("$.issues").alias("issues"), F.lit(run_id).alias("run_id"),

@@ -223,3 +223,124 @@ def test_audit_reports_every_row_by_prompt_version(built):
     assert sum(sum(r[k] for k in ("succeeded", "failed")) for r in reports["buckets"].collect()) == n
     assert stages.audit_definitions(registry, version_like="none%")["totals"].first()["succeeded"] == 0
     assert all(r["avg_prompt_tokens"] > 0 for r in reports["buckets"].collect() if r["succeeded"])
+
+
+def lines_of(folder, n=9):
+    path = folder / "k.jsonl"
+    path.write_text("".join("{bad\n" if k % 4 == 3 else "\n" if k % 4 == 2 else json.dumps(noun(f"w{k}")) + "\n" for k in range(n)))
+    return str(path)
+
+
+@pytest.mark.parametrize("commits", [0, 1, 2, 3])
+def test_an_ingest_that_dies_goes_on(spark, tmp_path, monkeypatch, commits):
+    """Killed before its commits or after some of them, a rerun ends with every line once."""
+    registry, path = Registry(spark, str(tmp_path / "db")), lines_of(tmp_path)
+    keep, made = Registry.commit, []
+
+    def dies(self, *changes):
+        if len(made) == commits:
+            raise RuntimeError("killed")
+        made.append(1)
+        keep(self, *changes)
+
+    monkeypatch.setattr(Registry, "commit", dies)
+    with pytest.raises(RuntimeError, match="killed"):
+        stages.ingest(registry, path, chunk_lines=2)
+    monkeypatch.setattr(Registry, "commit", keep)
+    out = stages.ingest(registry, path, chunk_lines=2)
+    assert ("resumed_run_id" in out) == (commits > 0)
+    rows = registry.table("raw").read().collect()
+    assert sorted(r["source_line"] for r in rows) == [1, 2, 5, 6, 9] and len({r["id"] for r in rows}) == 5
+    assert sorted(r["source_line"] for r in registry.table("anomalies").read().collect()) == [4, 8]
+    assert (out["rows"], out["anomalies"], out["last_line"]) == (5, 2, 9)
+
+
+def test_replies_paid_for_stay(spark, tmp_path, monkeypatch):
+    from quern.operators import merge
+
+    registry, path = Registry(spark, str(tmp_path / "db")), lines_of(tmp_path, 30)
+    stages.ingest(registry, path)
+    stages.assemble(registry)
+    n = registry.table("entries", ENTRY).read().count()
+    keep, made = merge.VersionedTable.append, []
+
+    def dies(self, df):
+        if self.name == "enrichments":
+            if len(made) == 2:
+                raise RuntimeError("killed")
+            made.append(1)
+        keep(self, df)
+
+    monkeypatch.setattr(merge.VersionedTable, "append", dies)
+    with pytest.raises(RuntimeError, match="killed"):
+        stages.generate_definitions(registry, BUNDLE, commit_rows=3)
+    monkeypatch.setattr(merge.VersionedTable, "append", keep)
+    first = registry.table("enrichments").read().count()
+    assert 0 < first < n
+    out = stages.generate_definitions(registry, BUNDLE, commit_rows=3, threads=3)
+    log = registry.table("enrichments").read()
+    assert out["succeeded"] == n - first and log.count() == log.select("entry_id").distinct().count() == n
+
+
+def test_commits_are_whole_and_old_folders_stay_a_while(spark, tmp_path, monkeypatch):
+    from quern.operators import merge
+
+    monkeypatch.setattr(merge, "KEEP", 3)
+    a, b = (merge.VersionedTable(spark, f"{tmp_path}/{n}", "x int") for n in "ab")
+    frame = lambda *xs: spark.createDataFrame([(x,) for x in xs], "x int")
+    values = lambda t: sorted(r["x"] for r in t.read().collect())
+    a.append(frame(1))
+    held = a.read()
+    a.put(frame(9))  # a crash before the commit
+    assert values(a) == [1] and values(b) == []
+    a.store.commit(a.replacing(frame(2)) | b.adding(frame(3)))
+    assert (values(a), values(b)) == ([2], [3]) and [r["x"] for r in held.collect()] == [1]
+    (tmp_path / "_commits" / "part-x").write_text("half")
+    for k in range(4, 8):
+        b.append(frame(k))
+    assert values(b) == [3, 4, 5, 6, 7] and len(a.store._numbers()) == 3
+    monkeypatch.setattr(merge, "MOST_FOLDERS", 4)
+    b.append(frame(8))
+    assert values(b) == [3, 4, 5, 6, 7, 8] and len(b.store.state()["b"]) == 1
+    b.truncate()
+    assert values(b) == [] and values(a) == [2]
+
+
+def test_failed_reviews_are_counted_and_reports_are_made(built):
+    registry, _, _, _ = built
+
+    def harsh(kind, prompt, payload, temperature, tokens):
+        return Reply("[]") if '"set"' in payload else fake_generator(kind, prompt, payload, temperature, tokens)
+
+    out = stages.review(registry, harsh, size=50, seed="harsh", commit_rows=1)
+    assert (out["reviews"], out["failed"]) == (1, 1)
+    reports = stages.review_reports(registry, seed="harsh")
+    assert [(r["verdict"], r["reviews"], r["share"]) for r in reports["verdicts"].collect()] == [("pass", 1, 1.0)]
+    assert reports["issues"].collect() == [] and [r["reviews"] for r in reports["strata"].collect()] == [1]
+    assert stages.review(registry, size=50, seed="harsh")["reviews"] == 1  # what failed was still to be done
+
+
+def test_prompts_name_every_field_and_the_language():
+    from quern.operators import generate
+
+    for kind in generate.PROMPTS:
+        text = BUNDLE.text(kind)
+        assert "Chinese (Simplified)" in text and "{language}" not in text
+    assert all(f"`{f}`" in BUNDLE.text("entry") for f in (*validate.ENTRY_FIELDS, "summary", "priority", "examples"))
+    assert all(f"`{f}`" in BUNDLE.text("review") for f in validate.SCORE_FIELDS)
+    assert Bundle("v", "fr", "French", (("entry", "own"),)).text("entry") == "own"
+
+
+def test_a_busy_pool_is_waited_for():
+    from quern.operators import generate
+
+    waits, calls = [], []
+
+    def busy(kind, *rest):
+        calls.append(kind)
+        if len(calls) < 3:
+            raise generate.PoolBusy if len(calls) == 1 else ValueError
+        return Reply("{}")
+
+    call = generate.Attempts(busy, BUNDLE, pause=waits.append)
+    assert call("entry", "{}", lambda x: x) == {} and waits == [35.0, 1.0] and call.used_compact
