@@ -39,6 +39,23 @@ def dedupe(items: Column, key: Key) -> Column:
     return cap_per_key(items, key, 1)
 
 
+def grouped(items: Column, key: Key) -> Column:
+    """array<struct<key, own>> by key, which isn't null, elements in order: by one sort, whose runs are the groups."""
+    placed = F.array_sort(F.transform(items, lambda x, i: F.struct(key(x).alias("k"), i.alias("i"), x.alias("x"))))  # i is unique, so x isn't compared
+
+    def cut(ps: Column) -> Column:
+        fresh = lambda j: (j == 0) | (F.get(ps, j)["k"] != F.get(ps, j - 1)["k"])
+        starts = F.when(F.size(ps) > 0, F.filter(F.sequence(F.lit(0), F.size(ps) - 1), fresh)).otherwise(F.array().cast("array<int>"))
+
+        def group(ss: Column) -> Column:
+            own = lambda s, n: F.transform(F.slice(ps, s + 1, F.coalesce(F.get(ss, n + 1), F.size(ps)) - s), lambda p: p["x"])
+            return F.transform(ss, lambda s, n: F.struct(F.get(ps, s)["k"].alias("key"), own(s, n).alias("own")))
+
+        return let(starts, group)
+
+    return let(placed, cut)
+
+
 def trim(items: Column, cap: int, flag: str, flags_field: str) -> tuple[Column, Column]:
     """The first `cap` elements, each flagged if any went; and the flags for what holds them."""
     over = F.size(items) > cap
