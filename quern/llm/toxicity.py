@@ -110,14 +110,17 @@ def logistic(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, labels: np.
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *, sizes: tuple[int, ...] = (3, 4, 5, 6),
-          max_train: int = 12000, n_features: int = 2048, smooth: float = 1.0, penalty: float = 1e-4, seed: str = "tox-1") -> Model:
-    """Fits the model on labelled rows of folds 1 to 4, at most `max_train` of them."""
+          max_train: int = 12000, n_features: int = 2048, min_rows: int = 3, smooth: float = 1.0, penalty: float = 1e-4, seed: str = "tox-1") -> Model:
+    """Fits the model on labelled texts of folds 1 to 4, at most `max_train` of them, one for each id: of rows that share one the
+    text with the least hash. Features are the `n_features` slots that tell most by chi-squared among those that at least
+    `min_rows` of these texts have."""
     spark = docs.sparkSession
     marked = labels.select(labels[id_col].alias("id"), labels[label_col].cast("int").alias("label")).filter("id IS NOT NULL AND label IS NOT NULL")
     marked = marked.groupBy("id").agg((F.avg("label") >= 0.5).cast("int").alias("label")).filter(fold(F.col("id")) != 0)
     sample = marked.orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(max_train)  # bounded, so it can be broadcast
     texts = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    chosen = written(texts.join(F.broadcast(sample), "id").select("label", "text"), "sample")  # the documents are scanned once for it
+    found = texts.join(F.broadcast(sample), "id").groupBy("id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("x"))
+    chosen = written(found.select("label", "x.text"), "sample")  # the documents are scanned once for it
     counted = chosen.mapInArrow(lambda b: _counts(b, sizes), "slot int, n0 int, n1 int").groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     counted = written(counted, "slots")
     totals = counted.agg(*[F.coalesce(F.sum(F.when((F.col("slot") < 0) == outside, F.col(n))), F.lit(0)) for outside in (True, False) for n in ("n0", "n1")]).first()
@@ -127,7 +130,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     n = F.col("n0") + F.col("n1")
     ratio = F.log((F.col("n1") + smooth) / (held[1] + smooth * 2**BITS)) - F.log((F.col("n0") + smooth) / (held[0] + smooth * 2**BITS))
     chi = sum(F.pow(F.col(c) - n * (r / sum(rows)), 2) / (n * (r / sum(rows))) for c, r in zip(("n0", "n1"), rows, strict=True))
-    top = counted.filter((F.col("slot") >= 0) & (n >= 3)).select("slot", ratio.alias("ratio"), chi.alias("chi")).filter("chi > 0").orderBy(F.desc("chi"), "slot").limit(n_features).collect()
+    top = counted.filter((F.col("slot") >= 0) & (n >= min_rows)).select("slot", ratio.alias("ratio"), chi.alias("chi")).filter("chi > 0").orderBy(F.desc("chi"), "slot").limit(n_features).collect()
     best = np.sort(np.array([r["slot"] for r in top], dtype=np.int64))
     kept = nothing.copy()
     kept[[r["slot"] for r in top]] = [r["ratio"] or 1e-6 for r in top]

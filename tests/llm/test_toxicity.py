@@ -75,3 +75,13 @@ def test_edges(docs, no_docs, rows, spark):
     kept = toxicity.clean(docs, none)
     assert kept.columns == docs.columns and kept.count() == len(rows)
     assert Model(np.zeros(1 << toxicity.BITS, np.float32), 0.0, (3,)).score(None) == 0.5
+
+
+def test_rows_that_share_a_labelled_id_count_once(spark):
+    rows, labels = labelled(120)
+    hot = [(1, rows[1][1])] * 300 + [(1, "another text")] * 5
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    one = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), marks)
+    few = toxicity.train(spark.createDataFrame(rows + hot[:300], "doc_id long, text string"), marks)
+    assert np.allclose(one.weights, few.weights) and np.isclose(one.intercept, few.intercept)
+    assert toxicity.train(spark.createDataFrame(rows + hot, "doc_id long, text string"), marks).weights.any()
