@@ -31,17 +31,17 @@ def cap_per_key(items: Column, key: Key, cap: int) -> Column:
     where an element is one too many if the one `cap` places before has its key."""
     placed = lambda x, i: F.struct(F.struct(key(x).alias("k")).alias("k"), i.alias("i"))
     kept = lambda ts: F.filter(ts, lambda t, j: ~F.get(ts, j - cap)["k"].eqNullSafe(t["k"]))
-    return let(items, lambda xs: let(F.array_sort(F.transform(xs, placed)), lambda ts: F.transform(F.array_sort(F.transform(kept(ts), lambda t: t["i"])), lambda i: F.get(xs, i))))
+    return let(items, lambda xs: let(F.sort_array(F.transform(xs, placed)), lambda ts: F.transform(F.sort_array(F.transform(kept(ts), lambda t: t["i"])), lambda i: F.get(xs, i))))
 
 
-def dedupe(items: Column, key: Key) -> Column:
-    """Of the elements with equal keys the first, order kept."""
-    return cap_per_key(items, key, 1)
+def dedupe(items: Column, key: Key | None = None) -> Column:
+    """Of the elements with equal keys the first, order kept; without a key, of equal elements."""
+    return F.array_distinct(items) if key is None else cap_per_key(items, key, 1)
 
 
 def grouped(items: Column, key: Key) -> Column:
     """array<struct<key, own>> by key, which isn't null, elements in order: by one sort, whose runs are the groups."""
-    placed = F.array_sort(F.transform(items, lambda x, i: F.struct(key(x).alias("k"), i.alias("i"), x.alias("x"))))  # i is unique, so x isn't compared
+    placed = F.sort_array(F.transform(items, lambda x, i: F.struct(key(x).alias("k"), i.alias("i"), x.alias("x"))))  # i is unique, so x isn't compared
 
     def cut(ps: Column) -> Column:
         fresh = lambda j: (j == 0) | (F.get(ps, j)["k"] != F.get(ps, j - 1)["k"])

@@ -292,7 +292,7 @@ SELECT doc_id, CAST(count(*) AS BIGINT) AS n, md5(string_agg(token, ' ' ORDER BY
 """)
 def dedupe_first(spark, sf_dir):
     """Each token of a text once, in order of first appearance."""
-    return table(spark, sf_dir, "documents").select("doc_id", nested.dedupe(F.split("text", " "), lambda t: t).alias("t")).select("doc_id", F.size("t").cast("long").alias("n"), F.md5(F.array_join("t", " ")).alias("kept_md5"))
+    return table(spark, sf_dir, "documents").select("doc_id", nested.dedupe(F.split("text", " ")).alias("t")).select("doc_id", F.size("t").cast("long").alias("n"), F.md5(F.array_join("t", " ")).alias("kept_md5"))
 
 
 @query("""
