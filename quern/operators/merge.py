@@ -8,6 +8,7 @@ writer at a time; a reader's folders stay for the next `KEEP` commits."""
 from __future__ import annotations
 
 import json
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,17 +47,26 @@ class Store:
         jvm = spark.sparkContext._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self._known: dict[int, dict[str, list[str]]] = {}
 
     def _numbers(self) -> list[int]:
         log = self._path(f"{self.path}/_commits")
-        names = [f.getPath().getName() for f in self._fs.listStatus(log)] if self._fs.exists(log) else []
-        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and n[0].isdigit())
+        if not self._fs.exists(log):
+            return []
+        jvm = self.spark.sparkContext._jvm
+        names = jvm.org.apache.commons.lang3.ArrayUtils.toString(jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(self._fs.listStatus(log)))  # one call for all names
+        return sorted(map(int, re.findall(r"/_commits/(\d+)\.json(?=[,}])", names)))
 
     def _file(self, number: int) -> str:
         return f"{self.path}/_commits/{number:012d}.json"
 
     def _read(self, number: int) -> dict[str, list[str]]:
-        return json.loads("".join(r[0] for r in self.spark.read.text(self._file(number)).collect()))
+        """A commit, by the driver alone: no Spark job."""
+        stream = self._fs.open(self._path(self._file(number)))
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
 
     def state(self) -> dict[str, list[str]]:
         numbers = self._numbers()
@@ -66,21 +76,32 @@ class Store:
         """The tables have these folders now, the others what they had. The file gets its name when it is whole."""
         numbers = self._numbers()
         number = numbers[-1] + 1 if numbers else 1
-        state = (self._read(numbers[-1]) if numbers else {}) | changes
+        last = numbers[-1] if numbers else 0
+        state = (self._known.get(last) or self._read(last) if last else {}) | changes
         part = self._path(f"{self.path}/_commits/part-{uuid.uuid4().hex}")
         out = self._fs.create(part, True)
         out.write(bytearray(json.dumps(state).encode()))
         out.close()
         if not self._fs.rename(part, self._path(self._file(number))):
             raise RuntimeError(f"another writer made commit {number} of {self.path}")
+        self._known = {n: c for n, c in self._known.items() if n in numbers} | {number: state}
         self._forget([n for n in numbers if n <= number - KEEP])
 
     def _forget(self, numbers: list[int]) -> None:
+        """Old commits go, and of their folders those that no commit left names, be it by a folder above or below."""
         if not numbers:
             return
-        named = {f for n in self._numbers() if n not in numbers for folders in self._read(n).values() for f in folders}
-        old = {f for n in numbers for folders in self._read(n).values() for f in folders}
-        for path in (*(f"{self.path}/{f}" for f in sorted(old - named)), *map(self._file, numbers)):
+
+        def folders(n: int) -> set[str]:
+            if n not in self._known:
+                self._known[n] = self._read(n)
+            return {f for fs in self._known[n].values() for f in fs}
+
+        named = set().union(*(folders(n) for n in self._numbers() if n not in numbers))
+        above = {f[:at] for f in named for at in range(len(f)) if f[at] == "/"}
+        old = set().union(*map(folders, numbers)) - named - above
+        gone = [f for f in sorted(old) if not any(f[:at] in named for at in range(len(f)) if f[at] == "/")]
+        for path in (*(f"{self.path}/{f}" for f in gone), *map(self._file, numbers)):
             self._fs.delete(self._path(path), True)
 
 
@@ -95,7 +116,7 @@ class VersionedTable:
     def _frame(self, folders: list[str]) -> DataFrame:
         if not folders:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*[f"{self.store.path}/{f}" for f in folders])
+        return self.spark.read.schema(self.schema).option("recursiveFileLookup", "true").parquet(*[f"{self.store.path}/{f}" for f in folders])
 
     def read(self) -> DataFrame:
         return self._frame(self.store.state().get(self.name, []))
@@ -106,6 +127,13 @@ class VersionedTable:
         df.select(*self.schema.fieldNames()).write.parquet(f"{self.store.path}/{folder}")
         return folder
 
+    def put_parts(self, df: DataFrame, by: str) -> str:
+        """Rows in a new folder with a folder `by`=value for each value of the whole number `by`. A commit may name some of
+        these, or the one above for all of them."""
+        folder = f"{self.name}/v-{uuid.uuid4().hex}"
+        df.select(*self.schema.fieldNames(), by).write.partitionBy(by).parquet(f"{self.store.path}/{folder}")
+        return folder
+
     def replacing(self, df: DataFrame) -> dict[str, list[str]]:
         """A change for commit(): `df`, which may be made from read(), becomes the table."""
         return {self.name: [self.put(df)]}
@@ -117,6 +145,11 @@ class VersionedTable:
             return {self.name: [*folders, self.put(df)]}
         return self.replacing(self._frame(folders).unionByName(df.select(*self.schema.fieldNames())))
 
+    def packed(self) -> list[str]:
+        """The table's folders; where they are many, a new one with all of its rows, which a commit may name in their place."""
+        folders = self.store.state().get(self.name, [])
+        return folders if len(folders) < MOST_FOLDERS else [self.put(self._frame(folders))]
+
     def write(self, df: DataFrame) -> None:
         self.store.commit(self.replacing(df))
 

@@ -344,3 +344,45 @@ def test_a_busy_pool_is_waited_for():
 
     call = generate.Attempts(busy, BUNDLE, pause=waits.append)
     assert call("entry", "{}", lambda x: x) == {} and waits == [35.0, 1.0] and call.used_compact
+
+
+def test_many_small_chunks_are_a_commit_each_and_few_jobs(spark, tmp_path, monkeypatch):
+    """Each chunk is a commit with its checkpoint; the number of jobs doesn't grow with that of chunks."""
+    from quern.operators import merge
+
+    monkeypatch.setattr(merge, "KEEP", 3)
+    tracker, states = spark.sparkContext.statusTracker(), []
+    keep = Registry.commit
+
+    def seen(self, *changes):
+        keep(self, *changes)
+        states.append((self.table("raw").store.state()["raw"], self.table("checkpoints").store.state()["checkpoints"]))
+
+    monkeypatch.setattr(Registry, "commit", seen)
+
+    def jobs(n: int) -> int:
+        (tmp_path / str(n)).mkdir()
+        registry, path = Registry(spark, str(tmp_path / f"db{n}")), lines_of(tmp_path / str(n), n)
+        spark.sparkContext.setJobGroup(f"ingest-{n}", "ingest")
+        out = stages.ingest(registry, path, chunk_lines=1)
+        spark.sparkContext._jsc.clearJobGroup()
+        assert (out["rows"], out["anomalies"], out["last_line"]) == (n // 2, n // 4, n)
+        assert sorted(r["source_line"] for r in registry.table("raw").read().collect()) == [k + 1 for k in range(n) if k % 4 < 2]
+        assert registry.table("checkpoints").read().count() == 1 and len(registry.store._numbers()) == 3
+        return len(tracker.getJobIdsForGroup(f"ingest-{n}"))
+
+    few = jobs(8)
+    assert len(states) == 6  # the blank lines' chunks have nothing to commit
+    assert jobs(80) <= few + 10 and len(states) == 6 + 60
+    assert len(states[-1][0]) == 1 and len(states[-2][0]) > 30  # all chunks of a write are one folder in the end
+
+
+def test_lines_written_at_once_are_bounded(spark, tmp_path, monkeypatch):
+    """Writes of two chunks each, and of one: every line once, and its id."""
+    monkeypatch.setattr(stages, "WRITTEN_LINES", 4)
+    for size in (2, 5):
+        (tmp_path / str(size)).mkdir()
+        registry, path = Registry(spark, str(tmp_path / f"db{size}")), lines_of(tmp_path / str(size), 21)
+        out = stages.ingest(registry, path, chunk_lines=size)
+        rows = registry.table("raw").read().collect()
+        assert sorted((r["source_line"], r["id"]) for r in rows) == [(k + 1, k + 1) for k in range(21) if k % 4 < 2] and out["anomalies"] == 5
